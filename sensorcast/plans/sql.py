@@ -2,13 +2,13 @@
 ``sources.testdata``, written independently in SQL)."""
 
 
-def readings_cte(series: str = "user_id % 3", name: str = "r") -> str:
+def readings_cte(series: str = "user_id % 3", name: str = "r", where: str = "TRUE") -> str:
     return f"""{name} AS (
   SELECT event_id AS "ID", CAST({series} AS BIGINT) AS series_id, ts AS utc,
          CASE WHEN event_type = 'click' THEN value END AS ts,
          CASE WHEN event_type = 'view'  THEN value END AS hr,
          CASE WHEN event_type = 'error' THEN value END AS qfe
-  FROM events)"""
+  FROM events WHERE {where})"""
 
 
 def hourly_cte(src: str = "r", name: str = "h", unit: str = "hour") -> str:
@@ -44,10 +44,18 @@ def interp_cte(src: str = "g", name: str = "i", values=("ts", "hr", "qfe")) -> s
 {name} AS (SELECT series_id, utc, pos, {', '.join(fills)} FROM {name}_w)"""
 
 
-def hourly_table_sql() -> str:
-    """WITH-list of the regularised hourly table ``i`` over ``user_id % 3``."""
-    return ",\n".join([readings_cte(), hourly_cte(), grid_cte(), interp_cte()])
+def hourly_table_sql(series: str = "user_id % 3", p: str = "", where: str = "TRUE",
+                     raw: str | None = None) -> str:
+    """WITH-list of the regularised hourly table ``{p}i`` (readings ``{p}r``)."""
+    parts = [] if raw else [readings_cte(series, f"{p}r", where)]
+    src = raw or f"{p}r"
+    return ",\n".join(parts + [hourly_cte(src, f"{p}h"), grid_cte(f"{p}h", f"{p}g"),
+                                interp_cte(f"{p}g", f"{p}i")])
 
 
 def r6(cols) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+def cols(prefix: str, names) -> str:
+    return ", ".join(f"{prefix}.{n}" for n in names)

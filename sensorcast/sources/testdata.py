@@ -68,3 +68,12 @@ def local_and_official(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     local = r.filter(F.col("_odd") == 0).drop("_odd")
     official = r.filter(F.col("_odd") == 1).drop("_odd")
     return local, official
+
+
+def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide three-variable table over several years from ``lineitem``:
+    ``utc`` = ship date, ``ts`` / ``hr`` / ``qfe`` = quantity / extended price / discount."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.lit(0).cast("long").alias("series_id"), F.col("l_shipdate").cast("timestamp_ntz").alias("utc"),
+                     F.col("l_quantity").alias("ts"), F.col("l_extendedprice").alias("hr"),
+                     F.col("l_discount").alias("qfe"))
