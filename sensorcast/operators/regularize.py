@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorcast.functions.time import epoch_seconds
 from sensorcast.operators.position import DEFAULT_BLOCK, carry_across_blocks, with_position
-from sensorcast.session import cut_lineage
+from sensorcast.session import write_and_read
 
 VALUES = ["ts", "hr", "qfe"]
 KEYS = ["series_id"]
@@ -40,12 +40,12 @@ def gap_grid(means: DataFrame, keys: list[str] = KEYS, time_col: str = "utc",
     long series is not generated by one task.
 
     The means are used twice (bounds and the join); ``materialize`` writes
-    them once as a reliable checkpoint in ``spark.checkpoint.dir`` so the raw
-    input is scanned once, not twice.  They are ``width / raw interval``
+    them once as Parquet under ``spark.checkpoint.dir`` so the raw input is
+    scanned once, not twice.  They are ``width / raw interval``
     times smaller than the raw rows (720x for 5-second readings and hours).
     """
     if materialize:
-        means = cut_lineage(means)
+        means = write_and_read(means, "bucket-means")
     t = F.col(time_col)
     bounds = means.groupBy(*keys).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     n = ((epoch_seconds("_hi") - epoch_seconds("_lo")) / step_seconds).cast("long") + 1

@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from sensorcast.plans import q_explore, q_features, q_regularize, q_sources  # noqa: F401
+from sensorcast.plans import q_explore, q_features, q_models, q_regularize, q_sources  # noqa: F401
 from sensorcast.plans.registry import ORACLE, QUERIES
 
 

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # only effective in local mode, where the driver JVM runs the tasks
+    "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -60,6 +62,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sensorcast/{name}-{uuid.uuid4().hex}"
 
 
+def write_and_read(df, name: str):
+    """Materialise a frame as Parquet under the shared checkpoint folder and
+    read it back: the lineage starts at the written table, which survives
+    executor loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (written to ``spark.checkpoint.dir``) to cut a long lineage."""
     checkpoint_root(df.sparkSession)
