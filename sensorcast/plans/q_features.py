@@ -206,6 +206,12 @@ def undifference(spark, sf_dir):
 CAL = ["hour", "day", "month"]
 
 
+def _nsum(arr, field):
+    """SQL ``sum`` over an array of structs: nulls skipped, null when all are null."""
+    return F.aggregate(arr, F.lit(None).cast("double"),
+                       lambda a, r: F.when(r[field].isNull(), a).otherwise(F.coalesce(a, F.lit(0.0)) + r[field]))
+
+
 def _windows_spark(spark, sf_dir):
     h = tf.calendar_features(hourly_table(spark, sf_dir), year=False)
     h = sp.split_train_test(h, 0.9)
@@ -225,7 +231,7 @@ def sliding_windows(spark, sf_dir):
     w = _windows_spark(spark, sf_dir)
     return r6(w.select(
         "series_id", "split", "utc", "pos", F.size("x").cast("bigint").alias("len"),
-        F.aggregate("x", F.lit(0.0), lambda a, r: a + F.coalesce(r["ts"], F.lit(0.0))).alias("x_sum_ts"),
+        _nsum("x", "ts").alias("x_sum_ts"),
         F.aggregate("x", F.lit(0).cast("bigint"), lambda a, r: a + r["hour"]).alias("x_sum_hour"),
         F.col("x")[0]["qfe"].alias("x_first_qfe"), F.element_at("x", -1)["hr"].alias("x_last_hr"),
         *[F.col(f"y_{v}") for v in V]))
@@ -263,7 +269,7 @@ def _s2s_spark(spark, sf_dir, inp, lab, shift, label_cols):
     h = tf.cyclic_features(hourly_table(spark, sf_dir))
     w = wn.seq2seq_windows(h, features=V + ["dsin", "ysin"], label_columns=label_cols,
                            input_width=inp, label_width=lab, shift=shift)
-    add = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, r: a + F.coalesce(r[f], F.lit(0.0)))
+    add = _nsum
     return r6(w.select("series_id", "utc", "pos", F.size("inputs").cast("bigint").alias("n_in"),
                        F.size("labels").cast("bigint").alias("n_lab"), add("inputs", "dsin").alias("in_sum_dsin"),
                        add("inputs", "ts").alias("in_sum_ts"), add("labels", label_cols[-1]).alias("lab_sum"),
