@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorcast.llm import bpe, licenses, line_dedup, minhash, packing, pii, toxicity
+from sensorcast.llm import ann, bpe, edit_counts, embedding_dedup, licenses, line_dedup, minhash, packing, pii, toxicity
 from sensorcast.llm.common import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
-def _public(name: str) -> str:
+def public_file(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -21,8 +22,16 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(table(spark, sf_dir, "documents"), _public(WORD_VOCABULARY), with_ids=False)
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"), public_file(WORD_VOCABULARY), with_ids=False)
+
+
+def op3_ann_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,13 +51,31 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), _public(BYTE_RANKS), _pattern())
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_file(BYTE_RANKS), _pattern())
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def edits_of(docs: DataFrame) -> DataFrame:
+    """Stand-in edits of every document, in the schema that the operator
+    expects: a deletion, a replacement and an insertion at places spread by
+    hashes of the id."""
+    place = F.pmod(F.xxhash64("doc_id", "seq"), F.greatest(F.length("text"), F.lit(1))).cast("int")
+    cut = F.pmod(F.xxhash64("seq", "doc_id"), F.lit(40)).cast("int")
+    return (docs.where("text is not null").select("doc_id", "text", F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("seq"))
+            .select("doc_id", "seq", place.alias("start"), (place + F.when(F.col("seq") < 2, cut).otherwise(0)).alias("stop"),
+                    F.when(F.col("seq") > 0, F.concat(F.lit(" edited"), F.col("seq"), F.lit(" text")))
+                    .otherwise("").alias("replacement")))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return edit_counts.count_edited(docs, edits_of(docs), public_file(BYTE_RANKS), _pattern())
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op4_pii, op5_toxicity, op6_minhash_near_dedup, op7_line_dedup, op8_byte_bpe, op9_license_scan)}
+    op1_embedding_near_dedup, op2_best_fit_packing, op3_ann_permutation, op4_pii, op5_toxicity, op6_minhash_near_dedup, op7_line_dedup, op8_byte_bpe, op9_license_scan,
+    op10_token_counts)}
 ORACLE: dict[str, str] = {}

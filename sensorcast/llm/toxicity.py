@@ -189,3 +189,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS_PER_C
     scored = score(docs, fit(docs, labels, per_class))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: SparseModel) -> DataFrame:
+    """The rows whose whole text scores below 0.5, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = shared.value
+        marks = model.lookup()
+        for batch in batches:
+            for first, last, data, offsets in text_slices(batch):
+                scores = model.score(*features(data, offsets), last - first, marks)
+                yield batch.slice(first, last - first).filter(pa.array(scores < 0.5))
+    return docs.mapInArrow(run, docs.schema)
