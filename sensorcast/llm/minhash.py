@@ -1,18 +1,21 @@
 """Near-duplicate documents by HyperMinHash.
 
 Every text becomes the set of its five-word shingles.  One hash of a shingle
-chooses one of 128 buckets; a bucket keeps, for its smallest hash, the number
+chooses one of 512 buckets; a bucket keeps, for its smallest hash, the number
 of leading zeros (6 bits) and the first bits after the leading one (10 bits).
 Empty buckets borrow the register of another one, in a fixed random order.
-Registers are banded by fours.  Documents that share a band are candidates,
-the collision-corrected Jaccard estimate drops those that are far apart, and
-the rest is confirmed on the full shingle sets.
+The first 128 registers are banded by fours.  Documents that share a band are
+candidates, the collision-corrected Jaccard estimate over all registers drops
+those that are far apart, and the rest is confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are represented by the smallest
 id.  Inside a band bucket every class is compared to the bucket's smallest
 member first.  Links between members are then implied unless two of them are
-still in different components; exactly those pairs are compared in a second
-pass, so that no link is lost although a bucket's pairs are never all emitted.
+still in different components.  Buckets that still hold several components
+are cut into tiles; pairs of tiles are compared by their registers inside a
+task, which returns only the pairs of different components that pass, the
+likeliest first.  No link is lost, and the pairs of a bucket are never all
+emitted.
 """
 
 from __future__ import annotations
@@ -26,13 +29,17 @@ from sensorcast.llm.common import stored, text_slices
 from sensorcast.llm.components import connected_components
 from sensorcast.llm.textvec import mix, shingle_sets
 
-REGISTERS = 128
+REGISTERS = 512
+BUCKET_BITS = 9
 MANTISSA_BITS = 10
+BANDS = 32
 BAND_ROWS = 4
+# a bucket is cut into tiles of about this many members
+TILE_ROWS = 256
 SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 # candidates whose estimate is this many standard errors below the threshold are dropped
-SLACK_SIGMAS = 5.0
+SLACK_SIGMAS = 4.25
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()),
                      ("set_b", pa.int64()), ("registers", pa.binary())])
@@ -46,8 +53,8 @@ def borrow_order(buckets: int = REGISTERS) -> np.ndarray:
 
 
 def encode_registers(rest: np.ndarray) -> np.ndarray:
-    """Leading zeros and mantissa of 57-bit minima, as 16-bit registers."""
-    value = (rest >> np.uint64(4)).astype(np.float64)  # 53 bits: exact
+    """Leading zeros and mantissa of 55-bit minima, as 16-bit registers."""
+    value = (rest >> np.uint64(2)).astype(np.float64)  # 53 bits: exact
     bits = value.view(np.uint64)
     length = np.where(value > 0, (bits >> np.uint64(52)).astype(np.int64) - 1022, 0)
     zeros = np.minimum(53 - length, 63)
@@ -56,23 +63,29 @@ def encode_registers(rest: np.ndarray) -> np.ndarray:
 
 
 def sketch(sets: list[np.ndarray], order: np.ndarray) -> np.ndarray:
-    """The registers of every set, ``(len(sets), 128)``; an empty set gives zeros."""
-    edges = np.arange(REGISTERS, dtype=np.uint64) << np.uint64(57)
+    """The registers of every set, ``(len(sets), REGISTERS)``; an empty set gives zeros."""
+    bits = np.uint64(64 - BUCKET_BITS)
+    numbers = np.arange(REGISTERS, dtype=np.uint64)
+    edges = numbers << bits
     rest = np.zeros((len(sets), REGISTERS), np.uint64)
     filled = np.zeros((len(sets), REGISTERS), bool)
-    low = np.uint64((1 << 57) - 1)
+    low = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
     for i, s in enumerate(sets):
         if len(s):
             at = np.searchsorted(s, edges)
             first = s[np.minimum(at, len(s) - 1)]
-            ok = (at < len(s)) & ((first >> np.uint64(57)) == np.arange(REGISTERS, dtype=np.uint64))
-            rest[i], filled[i] = first & low, ok
+            rest[i], filled[i] = first & low, (at < len(s)) & ((first >> bits) == numbers)
     regs = encode_registers(rest)
-    lender = np.argmax(filled[:, order], axis=2)  # place in the order of the first filled bucket
-    source = order[np.arange(REGISTERS)[None, :], lender]
-    out = np.take_along_axis(regs, source, axis=1)
-    out[~filled.any(axis=1)] = 0
-    return out
+    regs[~filled] = 0
+    doc, bucket = np.nonzero(~filled & filled.any(axis=1)[:, None])
+    for turn in range(1, REGISTERS):
+        if not len(doc):
+            break
+        lender = order[bucket, turn]
+        found = filled[doc, lender]
+        regs[doc[found], bucket[found]] = regs[doc[found], lender[found]]
+        doc, bucket = doc[~found], bucket[~found]
+    return regs
 
 
 def _sketch_batches(batches):
@@ -163,10 +176,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def band_rows(reps: DataFrame) -> DataFrame:
     """``(key, doc_id)``: one row per band of compressed registers."""
-    bands = REGISTERS // BAND_ROWS
     width = 2 * BAND_ROWS
-    return (reps.select("doc_id", "registers", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
-            .select("doc_id", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width)))
+    return (reps.select("doc_id", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+            .select("doc_id", "band", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width)))
                     .alias("key")))
 
 
@@ -191,6 +203,61 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         _confirm_batches, "a long, b long, inter long, total long")
 
 
+def _tile_batches(floor: float):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(n).to_pylist() for n in ("band", "same", "docs_a", "docs_b")]
+            for band, same, docs_a, docs_b in zip(*cols):
+                sides = []
+                for rows in (docs_a, docs_b):
+                    regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, REGISTERS)
+                    sides.append((np.array([r["member"] for r in rows]), np.array([r["c"] for r in rows]),
+                                  np.array([r["n_shingles"] for r in rows], float), regs))
+                (ids_a, comp_a, n_a, regs_a), (ids_b, comp_b, n_b, regs_b) = sides
+                bands_a, bands_b = (np.ascontiguousarray(x[:, :BANDS * BAND_ROWS]).view(np.uint64) for x in (regs_a, regs_b))
+                for i in range(len(ids_a)):
+                    open_ = comp_b != comp_a[i]
+                    if same:
+                        open_[:i + 1] = False
+                    j = np.flatnonzero(open_)
+                    # a pair that shares several bands is met in the first of them
+                    j = j[np.argmax(bands_b[j] == bands_a[i], axis=1) == band]
+                    if not len(j):
+                        continue
+                    agree = (regs_b[j] == regs_a[i]).mean(axis=1)
+                    j, agree = j[agree >= floor], agree[agree >= floor]
+                    if not len(j):
+                        continue
+                    chance = collision_rate(np.full(len(j), n_a[i]), n_b[j])
+                    est = np.clip((agree - chance) / (1 - chance), 0.0, 1.0)
+                    j, est = j[est >= floor], est[est >= floor]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.minimum(ids_a[i], ids_b[j])), pa.array(np.maximum(ids_a[i], ids_b[j])),
+                        pa.array(est)], schema=schema)
+    return run
+
+
+def _tile_pairs(rows: DataFrame, reps: DataFrame, floor: float) -> DataFrame:
+    """``(a, b, est)`` of the pairs of different components in a bucket whose
+    estimate passes; bucket by bucket, tile against tile."""
+    slot = F.pmod(F.xxhash64("member", "band"), F.ceil(F.col("n") / TILE_ROWS).cast("long"))
+    side = reps.select(F.col("doc_id").alias("member"), "n_shingles", "registers")
+    tiles = (rows.withColumn("slot", slot).join(side, "member").groupBy("key", "band", "slot")
+             .agg(F.sort_array(F.collect_list(F.struct("member", "c", "n_shingles", "registers"))).alias("docs")))
+    tiles, _ = stored(tiles, "bucket-tiles")
+    other = tiles.select("key", F.col("slot").alias("slot_b"), F.col("docs").alias("docs_b"))
+    pairs = tiles.withColumnRenamed("docs", "docs_a").join(other, "key").where("slot <= slot_b")
+    return pairs.select("band", (F.col("slot") == F.col("slot_b")).alias("same"), "docs_a", "docs_b").mapInArrow(
+        _tile_batches(floor), "a long, b long, est double")
+
+
+def _joined_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links."""
+    return connected_components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
 def near_duplicates(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every document.
 
@@ -215,50 +282,32 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> Data
 
     rows = band_rows(reps)
     heads = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets, _ = stored(rows.join(heads.drop("n"), "key").select("key", "leader", F.col("doc_id").alias("member")),
+    buckets, _ = stored(rows.join(heads, "key").select("key", "band", "n", "leader", F.col("doc_id").alias("member")),
                         "buckets")
-
-    def passing(est):
-        return est.where(F.col("est") >= F.lit(floor))
-
     star = buckets.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    est, _ = stored(_estimated(star, reps), "estimates")
-    wanted = passing(est)
+    wanted, _ = stored(_estimated(star, reps).where(F.col("est") >= F.lit(floor)), "estimates")
     needed = buckets.select(F.col("member").alias("doc_id")).distinct()
     # the one pass that moves texts: those of bucket members only
     texts, _ = stored(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
                       .join(needed, "doc_id", "left_semi"), "texts")
-    linked = (F.col("inter") * 100 >= F.col("total") * threshold_pct)
-    first, _ = stored(_confirmed(wanted, texts), "confirmed")
-    links = first.where(linked).select("a", "b")
-    comp = connected_components(links)
-
-    # second pass: bucket members that are not yet with their leader
-    sigma = 2 * SLACK_SIGMAS * (0.25 / REGISTERS) ** 0.5
-    reach = first.select("a", "b", (1 - F.col("inter") / F.col("total")).alias("far"), F.lit(0.0).alias("err")) \
-        .unionByName(est.where(F.col("est") < F.lit(floor)).select("a", "b", (1 - F.col("est")).alias("far"),
-                                                                   F.lit(sigma).alias("err")))
+
+    def links_of(pairs):
+        return _confirmed(pairs, texts).where(F.col("inter") * 100 >= F.col("total") * threshold_pct).select("a", "b")
+    comp = connected_components(links_of(wanted))
+
+    # the pairs of buckets with several components; the likely links are
+    # confirmed first, which settles most of the others
     named = (buckets.join(comp.select(F.col("id").alias("member"), F.col("component").alias("c")), "member", "left")
-             .join(comp.select(F.col("id").alias("leader"), F.col("component").alias("lc")), "leader", "left")
-             .withColumns({"c": F.coalesce("c", "member"), "lc": F.coalesce("lc", "leader")}))
-    far = named.join(reach.select(F.col("a").alias("leader"), F.col("b").alias("member"), "far", "err"),
-                     ["leader", "member"], "left")
-    far, _ = stored(far.select("key", "leader", "member", "c", "lc", F.coalesce("far", F.lit(0.0)).alias("far"),
-                               F.coalesce("err", F.lit(0.0)).alias("err")), "members")
-    odd = far.where("c <> lc").select("key", F.col("member").alias("a"), F.col("c").alias("ca"),
-                                      F.col("far").alias("fa"), F.col("err").alias("ea"))
-    rest = far.where("member <> leader").select("key", F.col("member").alias("b"), F.col("c").alias("cb"), "lc",
-                                                F.col("far").alias("fb"), F.col("err").alias("eb"))
-    gap = 1 - threshold_pct / 100.0 + 1e-9
-    # Jaccard distance is a metric: members much nearer to the leader than another cannot link with it
-    cross = odd.join(rest, (odd["key"] == rest["key"]) & (F.col("ca") != F.col("cb"))
-                     & ((F.col("cb") == F.col("lc")) | (F.col("a") < F.col("b")))
-                     & (F.abs(F.col("fa") - F.col("fb")) <= F.col("ea") + F.col("eb") + F.lit(gap)))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross, _ = stored(passing(_estimated(cross, reps)), "cross")
-    more = _confirmed(cross, texts).where(linked).select("a", "b")
-    final = connected_components(
-        comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+             .withColumn("c", F.coalesce("c", "member")))
+    mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    cross, _ = stored(_tile_pairs(named.join(mixed, "key"), reps, floor), "cross")
+    likely = F.col("est") >= F.lit(threshold_pct / 100.0)
+    comp = _joined_components(comp, links_of(cross.where(likely)))
+    sides = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    others = comp.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    apart = (cross.where(~likely).join(sides, "a", "left").join(others, "b", "left")
+             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    final = _joined_components(comp, links_of(apart))
 
     known = (classes.select("n_shingles", "set_a", "set_b", F.col("doc_id").alias("rep"))
              .join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
