@@ -28,7 +28,7 @@ from sensorcast.llm.common import text_slices
 MAX_PAIRS = 400_000
 # a pre-token longer than this emits on the way
 FLUSH_BYTES = 4096
-MAX_PIECES = 200_000
+MAX_PIECES = 400_000
 DECODE_BLOCK = 8192
 
 

@@ -13,6 +13,7 @@ the pieces of the same length.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -28,7 +29,7 @@ MW_ROUNDS = 60
 MW_RATE = 0.5
 # the oracle's mixture takes configurations within this share of the best price
 MW_NEAR = 0.08
-CACHE_WORDS = 250_000
+CACHE_WORDS = 700_000
 # pieces of one length are ranked in slots of about this many rows
 SLOT_ROWS = 50_000
 
@@ -37,6 +38,13 @@ _PIECES = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
 _PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+_MARKS = frozenset(".,;:!?")
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
@@ -51,17 +59,30 @@ class WordEncoder:
         self.encode_batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = limit
         self.known: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {}
+
+    def _core(self, word: str) -> tuple[str, str]:
+        """A word without the mark at its end, where that mark is a pre-token
+        of its own; ASCII words in lower case, as the tokenizer has them."""
+        mark = word[-1] if word[-1] in _MARKS and word[-2:-1].lower()[-1:].isalpha() else ""
+        core = word[:-1] if mark else word
+        return (core.lower() if core.isascii() else core), mark
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*split).difference(self.known)) if split else []
-        if len(self.known) + len(missing) > self.limit:
+        words = set().union(*split) if split else set()
+        if len(self.known) > self.limit:
             self.known = {"": b""}
-            missing = list(set().union(*split).difference(self.known))
-        for i in range(0, len(missing), 4096):
-            part = missing[i:i + 4096]
-            for word, enc in zip(part, self.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(enc.ids, "<u4").tobytes()
+        if len(self.cores) > self.limit:
+            self.cores = {}
+        missing = {word: self._core(word) for word in words.difference(self.known)}
+        new = list({part for pair in missing.values() for part in pair if part}.difference(self.cores))
+        for i in range(0, len(new), 4096):
+            part = new[i:i + 4096]
+            for core, enc in zip(part, self.encode_batch(part, add_special_tokens=False)):
+                self.cores[core] = pack_ids(enc.ids)
+        for word, (core, mark) in missing.items():
+            self.known[word] = self.cores[core] + self.cores[mark] if mark else self.cores[core]
         get = self.known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -75,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a few MB, the vocabulary
     schema = pa.schema(_PIECES + ([("ids", pa.binary())] if with_ids else []))
-    end = np.array([END_ID], "<u4").tobytes()
+    end = pack_ids([END_ID])
 
     def run(batches):
         import os
