@@ -67,14 +67,13 @@ class SumTree:
 class EditedDocument:
     """A text with its token count, kept under edits.
 
-    ``cut`` yields the matches of the pre-token pattern from a position,
-    ``count`` gives the number of tokens of a pre-token.  The text itself is
+    ``cut`` is the compiled pre-token pattern, ``count`` gives the number of tokens of a pre-token.  The text itself is
     kept in the blocks, so that an edit copies a block and not the document.
     """
 
     def __init__(self, text: str, cut, count):
         self.cut, self.count = cut, count
-        items = [m.group() for m in cut(text)]
+        items = cut.findall(text)
         self.blocks = [items[i:i + NODE_ITEMS] for i in range(0, len(items), NODE_ITEMS)] or [[]]
         self.counts = [list(map(count, b)) for b in self.blocks]
         self.encoded = 0
@@ -147,7 +146,7 @@ class EditedDocument:
             done = at >= total
             new, pos, met = [], 0, None
             limit = len(fresh) if done else len(fresh) - 1 - LOOKAHEAD
-            for m in self.cut(fresh):
+            for m in self.cut.finditer(fresh):
                 if m.end() > limit and not (done and m.end() == len(fresh)):
                     break
                 new.append(m.group())
@@ -198,7 +197,7 @@ class PieceCounter:
     def __init__(self, ranks: bytes, pattern: str, limit: int = 200_000):
         import regex
         self.coder = ByteBpe(read_ranks(ranks), pattern)
-        self.cut = regex.compile(pattern).finditer
+        self.cut = regex.compile(pattern)
         self.limit = limit
         self.known: dict[str, int] = {}
 
