@@ -171,10 +171,11 @@ def arma_hr_fit(df: DataFrame, p: int = 24, long_p: int | None = None, keys: lis
                 values: list[str] = VALUES, ridge: float = 1e-8) -> DataFrame:
     """ARMA(p,1) on differences by Hannan-Rissanen.
 
-    Step 1: a long AR(m) fit gives residuals e(n).  Step 2: regress d(n) on
-    d(n-1..n-p) and e(n-1).  ``coef`` holds p AR terms then the MA term.
+    Step 1: a long AR(m) fit, m twice p unless given, gives residuals e(n); m
+    must exceed p, or the residual is a combination of the other regressors.
+    Step 2: regress d(n) on d(n-1..n-p) and e(n-1).  ``coef`` holds p AR terms then the MA term.
     """
-    m = long_p or p
+    m = long_p or 2 * p
     long_fit = ar_diff_fit(df, m, keys, values, ridge=ridge)
     d = wn.difference(df, keys=keys, values=values, prefix="d_")
     long = long_format(d.select(*keys, "pos", *[F.col(f"d_{v}").alias(v) for v in values]),

@@ -16,17 +16,17 @@ def append_hours(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 def append_hours_dedup(stored: DataFrame, new: DataFrame, keys: list[str] = KEYS,
                        time_col: str = "utc", values: list[str] = VALUES) -> DataFrame:
-    """Append, keeping the newest version of every ``(keys, time)``.
+    """Append, keeping per column the newest value of every ``(keys, time)``.
 
     The boundary hour fetched again by an ``>=`` high-water mark is rebuilt
-    from the new rows instead of duplicated.  ``max_by`` over a version tag is
-    a combinable aggregate: no per-key sort.
+    from the new rows instead of duplicated; where the rebuilt hour has no
+    value for a column, the stored one stays.  ``max_by`` over a version tag
+    is a combinable aggregate: no per-key sort.
     """
     both = (stored.select(*keys, time_col, *values).withColumn("_ver", F.lit(0))
             .unionByName(new.select(*keys, time_col, *values).withColumn("_ver", F.lit(1))))
-    row = F.struct(*[F.col(v).alias(v) for v in values])
-    return (both.groupBy(*keys, time_col).agg(F.max_by(row, F.col("_ver")).alias("_r"))
-                .select(*keys, time_col, *[F.col(f"_r.{v}").alias(v) for v in values]))
+    newest = [F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_ver"))).alias(v) for v in values]
+    return both.groupBy(*keys, time_col).agg(*newest)
 
 
 def head_preview(df: DataFrame, order: list[str], n: int = 6) -> DataFrame:

@@ -58,6 +58,11 @@ def _bins(x: str, y: str, bins: int, bounds: dict) -> list:
             F.width_bucket(F.col(y), F.lit(yl), F.lit(yh), F.lit(bins)).alias("y_bin")]
 
 
+def _exact_mean(col: str):
+    """Mean by a decimal sum (ten places), the same in whatever order rows are added."""
+    return F.sum(F.col(col).cast("decimal(28,10)")).cast("double") / F.count(col)
+
+
 def binned_relation(df: DataFrame, x: str, y: str, z: str, bins: int = 10, bounds: dict | None = None,
                     by: list = (), time_col: str = "utc", by_month: bool = False) -> DataFrame:
     """Two variables against each other, the third as colour (V4).
@@ -69,7 +74,7 @@ def binned_relation(df: DataFrame, x: str, y: str, z: str, bins: int = 10, bound
     bounds = bounds or value_bounds(df, [x, y])
     groups = list(by) + ([F.month(time_col).alias("month")] if by_month else [])
     return (df.groupBy(*groups, *_bins(x, y, bins, bounds))
-              .agg(F.count(F.lit(1)).alias("n"), F.avg(z).alias(f"{z}_mean")))
+              .agg(F.count(F.lit(1)).alias("n"), _exact_mean(z).alias(f"{z}_mean")))
 
 
 def density_2d(df: DataFrame, x: str, y: str, bins: int = 10, bounds: dict | None = None) -> DataFrame:

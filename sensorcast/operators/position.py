@@ -105,17 +105,18 @@ def carry_across_blocks(df: DataFrame, keys: list[str], values: list[str], pos_c
     before the row) and ``{v}__nv, {v}__np`` (first non-null at or after it).
     """
     b = df.withColumn("_blk", F.floor(F.col(pos_col) / block))
-    w = block_window(keys, pos_col)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    back = block_window(keys, pos_col).rowsBetween(Window.unboundedPreceding, 0)
+    # "first at or after" is "last so far" in descending order: a frame that
+    # grows row by row, where one up to the end would be read anew for each row
+    fwd = Window.partitionBy(*keys, "_blk").orderBy(F.col(pos_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
     p = F.col(pos_col)
     local = {}
     for v in values:
         nn = F.col(v).isNotNull()
         local[f"{v}__pv"] = F.last(v, ignorenulls=True).over(back)
         local[f"{v}__pp"] = F.last(F.when(nn, p), ignorenulls=True).over(back)
-        local[f"{v}__nv"] = F.first(v, ignorenulls=True).over(fwd)
-        local[f"{v}__np"] = F.first(F.when(nn, p), ignorenulls=True).over(fwd)
+        local[f"{v}__nv"] = F.last(v, ignorenulls=True).over(fwd)
+        local[f"{v}__np"] = F.last(F.when(nn, p), ignorenulls=True).over(fwd)
     b = b.withColumns(local)
 
     # One row per block: its last and first non-null of each column.
@@ -127,13 +128,13 @@ def carry_across_blocks(df: DataFrame, keys: list[str], values: list[str], pos_c
     summary = b.groupBy(*keys, "_blk").agg(*aggs)
     sw = Window.partitionBy(*keys).orderBy("_blk")
     prev_w = sw.rowsBetween(Window.unboundedPreceding, -1)
-    next_w = sw.rowsBetween(1, Window.unboundedFollowing)
+    next_w = Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = {}
     for v in values:
         carried[f"{v}__cpv"] = F.last(f"{v}__bl", ignorenulls=True).over(prev_w)
         carried[f"{v}__cpp"] = F.last(f"{v}__blp", ignorenulls=True).over(prev_w)
-        carried[f"{v}__cnv"] = F.first(f"{v}__bf", ignorenulls=True).over(next_w)
-        carried[f"{v}__cnp"] = F.first(f"{v}__bfp", ignorenulls=True).over(next_w)
+        carried[f"{v}__cnv"] = F.last(f"{v}__bf", ignorenulls=True).over(next_w)
+        carried[f"{v}__cnp"] = F.last(f"{v}__bfp", ignorenulls=True).over(next_w)
     summary = summary.select(*keys, "_blk", *[e.alias(n) for n, e in carried.items()])
 
     out = b.join(summary, [*keys, "_blk"], "left")

@@ -117,20 +117,6 @@ def seq2seq_windows(df: DataFrame, keys: list[str] = KEYS, features: list[str] =
     return out.select(*keys, time_col, pos_col, "inputs", "labels")
 
 
-def describe_window(input_width: int, label_width: int, shift: int,
-                    label_columns: list[str] | None = None) -> str:
-    """Text description of a seq2seq window (the generator's ``__repr__``, W4b)."""
-    total = input_width + shift
-    inputs = list(range(0, input_width))
-    label_start = total - label_width
-    return "\n".join([
-        f"Total window size: {total}",
-        f"Input indices: {inputs}",
-        f"Label indices: {list(range(label_start, total))}",
-        f"Label column name(s): {label_columns}",
-    ])
-
-
 def flatten_window(col: str | Column, fields: list[str]) -> Column:
     """Array of structs -> flat array of doubles, row-major (N12 reshape)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -181,6 +167,6 @@ def tail_slice(df: DataFrame, keys: list[str] = KEYS, last: int = 24, skip_last:
 
 __all__ = [
     "lag_supervised", "lag_matrix", "difference", "undifference", "sliding_windows",
-    "seq2seq_windows", "describe_window", "flatten_window", "unflatten_window", "fifo_advance",
+    "seq2seq_windows", "flatten_window", "unflatten_window", "fifo_advance",
     "shuffled_sample", "tail_slice",
 ]

@@ -15,16 +15,16 @@ from sensorcast.sources import readings as rd
 VALUES = ["ts", "hr", "qfe"]
 
 
-def daily_forecast(raw: DataFrame, fit: DataFrame, latest: int = 34560, horizon: int = 72,
+def daily_forecast(raw: DataFrame, fit: DataFrame, history_hours: int = 48, horizon: int = 72,
                    first_step: int = 1, model: str = "ar1", digits: int = 3) -> DataFrame:
-    """Latest N raw rows -> hourly mean -> gap grid -> interpolation -> AR(1)
+    """Each series' last two days of raw rows -> hourly mean -> gap grid -> interpolation -> AR(1)
     roll-out over ``horizon`` hours for every series -> rounding -> forecast rows.
 
     ``first_step`` = 1 stamps the first forecast one hour after the last
     observed hour; 0 reproduces stamping it at the last observed hour.
     Output: ``(series_id, model, run_utc, step, utc, ts, hr, qfe)``.
     """
-    hourly = rg.regularize(rd.latest_n(raw, latest))
+    hourly = rg.regularize(rd.latest_hours(raw, history_hours, ["series_id"]))
     last = last_observation(hourly)
     fc = ar.ar1_forecast(fit, last, horizon, first_step=first_step)
     run = last.select("series_id", F.col("utc").alias("run_utc"))
@@ -34,13 +34,13 @@ def daily_forecast(raw: DataFrame, fit: DataFrame, latest: int = 34560, horizon:
 
 
 def monthly_refresh(raw: DataFrame, stored: DataFrame, digits: int = 2) -> DataFrame:
-    """High-water mark -> new raw rows -> hourly -> grid -> interpolation ->
+    """High-water mark of each series -> new raw rows -> hourly -> grid -> interpolation ->
     rounding -> append without double-counting the boundary hour.
 
     Returns the refreshed hourly table ``(series_id, utc, ts, hr, qfe)``; the
     caller writes it with ``files.write_hourly_table`` (dynamic partition
     overwrite rewrites only the touched months) and refits from it.
     """
-    new = rg.regularize(rd.incremental_scan(raw, stored)).drop("pos")
+    new = rg.regularize(rd.incremental_scan(raw, stored, keys=["series_id"])).drop("pos")
     new = round_columns(new, VALUES, digits)
     return ap.append_hours_dedup(stored.select("series_id", "utc", *VALUES), new)

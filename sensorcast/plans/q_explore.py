@@ -97,9 +97,8 @@ def append_hours(spark, sf_dir):
 
 
 @register("append_hours_dedup", f"""WITH {APPEND_CTES},
-u AS (SELECT *, 0 AS ver FROM si UNION ALL SELECT *, 1 AS ver FROM ni),
-k AS (SELECT *, row_number() OVER (PARTITION BY series_id, utc ORDER BY ver DESC) AS rk FROM u)
-SELECT series_id, utc, {S.r6(V)} FROM k WHERE rk = 1""")
+u AS (SELECT *, 0 AS ver FROM si UNION ALL SELECT *, 1 AS ver FROM ni)
+SELECT series_id, utc, {', '.join(f'round(arg_max({v}, ver), 6) AS {v}' for v in V)} FROM u GROUP BY series_id, utc""")
 def append_hours_dedup(spark, sf_dir):
     stored, new = _append_parts(spark, sf_dir)
     return r6(ap.append_hours_dedup(stored, new))
@@ -140,13 +139,13 @@ bx AS (SELECT x.*, CASE WHEN ts < xl THEN 0 WHEN ts >= xh THEN 11 ELSE CAST(floo
 
 
 @register("binned_relation", f"""WITH {LI}
-SELECT x_bin, y_bin, count(*) AS n, round(avg(qfe), 6) AS qfe_mean FROM bx GROUP BY x_bin, y_bin""")
+SELECT x_bin, y_bin, count(*) AS n, round(CAST(sum(CAST(qfe AS DECIMAL(28,10))) AS DOUBLE) / count(qfe), 6) AS qfe_mean FROM bx GROUP BY x_bin, y_bin""")
 def binned_relation(spark, sf_dir):
     return r6(ex.binned_relation(td.lineitem_readings(spark, sf_dir), "ts", "hr", "qfe", bins=10))
 
 
 @register("binned_relation_by_month", f"""WITH {LI}
-SELECT CAST(month(utc) AS INTEGER) AS month, x_bin, y_bin, count(*) AS n, round(avg(qfe), 6) AS qfe_mean
+SELECT CAST(month(utc) AS INTEGER) AS month, x_bin, y_bin, count(*) AS n, round(CAST(sum(CAST(qfe AS DECIMAL(28,10))) AS DOUBLE) / count(qfe), 6) AS qfe_mean
 FROM bx GROUP BY month(utc), x_bin, y_bin""")
 def binned_relation_by_month(spark, sf_dir):
     return r6(ex.binned_relation(td.lineitem_readings(spark, sf_dir), "ts", "hr", "qfe", bins=10, by_month=True))

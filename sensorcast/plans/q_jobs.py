@@ -25,14 +25,15 @@ def _stored(spark, sf_dir):
 def daily_forecast_frame(spark, sf_dir):
     raw, stored = _stored(spark, sf_dir)
     fit = ar.ar1_fit(stored)
-    return jobs.daily_forecast(raw, fit, latest=34560, horizon=72)
+    return jobs.daily_forecast(raw, fit, horizon=72)
 
 
 DAILY_SQL = f"""WITH RECURSIVE {S.readings_cte()},
 sr AS (SELECT * FROM r WHERE utc < TIMESTAMP '{td.STORED_BEFORE}'),
 {S.hourly_table_sql(p='s', raw='sr')},
 {pairs_cte('si', part='series_id')}, {fit_cte('p', 'TRUE')},
-lr AS (SELECT * FROM r ORDER BY "ID" DESC LIMIT 34560),
+lm AS (SELECT series_id, max(utc) - INTERVAL 48 HOUR AS m FROM r GROUP BY series_id),
+lr AS (SELECT r.* FROM r JOIN lm USING (series_id) WHERE r.utc > lm.m),
 {S.hourly_table_sql(p='l', raw='lr')},
 st AS (SELECT series_id, max(utc) AS utc, {', '.join(f'arg_max_null({v}, utc) AS {v}' for v in V)} FROM li GROUP BY series_id),
 {recursion_cte('st')}
@@ -49,13 +50,12 @@ def daily_forecast(spark, sf_dir):
 @register("monthly_refresh", f"""WITH {S.readings_cte()},
 sr AS (SELECT * FROM r WHERE utc < TIMESTAMP '{td.STORED_BEFORE}'),
 {S.hourly_table_sql(p='s', raw='sr')},
-mark AS (SELECT max(utc) AS m FROM si),
-nr AS (SELECT * FROM r WHERE utc >= (SELECT m FROM mark)),
+mark AS (SELECT series_id, max(utc) AS m FROM si GROUP BY series_id),
+nr AS (SELECT r.* FROM r LEFT JOIN mark USING (series_id) WHERE m IS NULL OR r.utc >= m),
 {S.hourly_table_sql(p='n', raw='nr')},
 u AS (SELECT series_id, utc, ts, hr, qfe, 0 AS ver FROM si UNION ALL
-      SELECT series_id, utc, round_even(ts, 2), round_even(hr, 2), round_even(qfe, 2), 1 AS ver FROM ni),
-k AS (SELECT *, row_number() OVER (PARTITION BY series_id, utc ORDER BY ver DESC) AS rk FROM u)
-SELECT series_id, utc, {S.r6(V)} FROM k WHERE rk = 1""")
+      SELECT series_id, utc, round_even(ts, 2), round_even(hr, 2), round_even(qfe, 2), 1 AS ver FROM ni)
+SELECT series_id, utc, {', '.join(f'round(arg_max({v}, ver), 6) AS {v}' for v in V)} FROM u GROUP BY series_id, utc""")
 def monthly_refresh(spark, sf_dir):
     raw, stored = _stored(spark, sf_dir)
     return r6(jobs.monthly_refresh(raw, stored.drop("pos")))

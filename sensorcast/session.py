@@ -52,6 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="sensorcast-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -71,10 +73,4 @@ def write_and_read(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (written to ``spark.checkpoint.dir``) to cut a long lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
-__all__ = ["get_session", "checkpoint_root", "scratch_path", "cut_lineage", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_root", "scratch_path", "write_and_read", "DEFAULT_CONF"]

@@ -71,22 +71,39 @@ def incremental_scan(raw: DataFrame, stored: DataFrame, time_col: str = "utc",
                      keys: list[str] | None = None) -> DataFrame:
     """Rows at or after the stored high-water mark.
 
-    With ``keys`` the mark is per series (a join on the small mark table), and
-    the smallest mark is also applied as a literal so the scan still prunes.
-    Without keys the one global mark is a literal filter pushed to the scan.
+    With ``keys`` the mark is per series, so a station that lags behind the
+    others loses nothing and a station without stored rows is read whole.
+    Without keys the one global mark is a literal filter pushed to the scan;
+    that is right for a table of one series only.  An empty stored table
+    gives all rows.
     """
     if not keys:
         mark = high_water_mark(stored, time_col)
-        return raw.filter(F.col(time_col) >= F.lit(mark))
+        return raw if mark is None else raw.filter(F.col(time_col) >= F.lit(mark))
     marks = stored.groupBy(*keys).agg(F.max(time_col).alias("_mark"))
-    low = marks.agg(F.min("_mark")).first()[0]
-    return (raw.filter(F.col(time_col) >= F.lit(low))
-               .join(marks, keys)
-               .filter(F.col(time_col) >= F.col("_mark")).drop("_mark"))
+    return (raw.join(marks, keys, "left")
+               .filter(F.col("_mark").isNull() | (F.col(time_col) >= F.col("_mark"))).drop("_mark"))
+
+
+def latest_hours(raw: DataFrame, hours: int, keys: list[str], time_col: str = "utc") -> DataFrame:
+    """The rows of the last ``hours`` hours of every series, counted back from
+    its own last row.
+
+    The smallest of the marks is also a literal filter, which a partitioned or
+    sorted table prunes by.
+    """
+    marks = raw.groupBy(*keys).agg((F.max(time_col) - F.expr(f"INTERVAL {int(hours)} HOURS")).alias("_mark"))
+    low = marks.agg(F.min("_mark").alias("m")).first()["m"]
+    if low is None:
+        return raw.limit(0)
+    return (raw.filter(F.col(time_col) > F.lit(low)).join(marks, keys)
+               .filter(F.col(time_col) > F.col("_mark")).drop("_mark"))
 
 
 def latest_n(raw: DataFrame, n: int, order_col: str = "ID") -> DataFrame:
-    """The last ``n`` rows by ``order_col``, returned in ascending order.
+    """The last ``n`` rows by ``order_col``, in no particular order.
+
+    One bound over all series: for one series, or a preview.
 
     ``orderBy(desc).limit(n)`` plans as a top-N (``TakeOrderedAndProject``):
     each task keeps n rows, no full sort.
