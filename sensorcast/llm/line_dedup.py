@@ -11,7 +11,8 @@ the document with the smallest id.
 
 Copies of one document are not many documents: documents are counted by a
 sketch (the least hash of their lines), which copies and near copies share.
-Only hashes of lines are shuffled, and tokens of lines in recurring leaves.
+Lines are masked once and written; only the lines of recurring leaves go on, and
+of them only hashes are shuffled, and the tokens of every distinct one.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorcast.llm.common import stored
+from sensorcast.llm.common import drop_stored, stored
 
 DEPTH = 3
 MIN_TOKENS = 3
@@ -34,17 +35,25 @@ SIMILARITY = 0.7
 _FIELD = "<*>"
 
 
-def tokens_of(line: Column) -> Column:
-    """Lower-cased tokens between white space; those with digits are variable."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(line), r"[\s\x00]+", " ")), " ")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.when(w.rlike("[0-9]"), F.lit(_FIELD)).otherwise(w))
+def masked(text: Column) -> Column:
+    """The text in lower case with tokens between single blanks, line by line; tokens with digits are variable."""
+    blanks = F.regexp_replace(F.lower(text), r"[ \t\x0B\f\r\x00]+", " ")
+    return F.regexp_replace(blanks, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", _FIELD)
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    sketch = F.array_min(F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
-    rows = keyed.select("doc_id", "text_hash", sketch.alias("sketch"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rows = rows.where(F.length(F.trim("line")) > 0).withColumn("tokens", tokens_of(F.col("line"))).drop("line")
-    return rows.where(F.size("tokens") >= MIN_TOKENS)
+    """``(doc_id, text_hash, sketch, pos, line, leaf, own)`` of every line with
+    enough tokens; ``line`` is masked, its tokens stand between single blanks."""
+    raw = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    sketch = F.array_min(F.transform(raw, lambda x: F.xxhash64(x)))
+    rows = keyed.select("doc_id", "text_hash", sketch.alias("sketch"),
+                        F.posexplode(F.split(masked(F.col("text")), "\n")).alias("pos", "line"))
+    rows = rows.withColumn("line", F.trim("line"))
+    size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    rows = rows.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
+    lead = F.concat_ws(" ", F.col("size").cast("string"), F.substring_index("line", " ", DEPTH))
+    return rows.select("doc_id", "text_hash", "sketch", "pos", "line", F.xxhash64(lead).alias("leaf"),
+                       F.xxhash64("line").alias("own"))
 
 
 def _recurring(rows: DataFrame, key: str, min_docs: int, min_share: float) -> DataFrame:
@@ -60,17 +69,15 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
     """``(doc_id, text_hash, drops)``: line numbers to drop, for documents that have some."""
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text")).where("text <> ''")
-    lines = _lines(keyed)
-    lead = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, DEPTH))
-    lines = lines.select("doc_id", "text_hash", "sketch", "pos", F.xxhash64(lead).alias("leaf"),
-                         F.xxhash64(F.array_join("tokens", " ")).alias("own"), "tokens")
-    slim, _ = stored(lines.drop("tokens").dropDuplicates(["doc_id", "text_hash", "pos"]), "lines")
-
-    # leaves that recur: their lines' tokens are read again and give the templates
-    leaves, _ = stored(_recurring(slim.select("leaf", "sketch", "doc_id", "text_hash").distinct(), "leaf", min_docs, 0.0)
-                       .select("leaf"), "leaves")
-    shapes = (lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "own")
-              .agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens")))
+    lines, lines_path = stored(_lines(keyed), "lines")
+
+    # a template recurs in a leaf that recurs: the lines of other leaves are done with
+    leaves, _ = stored(lines.select("leaf", "sketch").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("unlike"))
+                       .where(F.col("unlike") >= min_docs).select("leaf"), "leaves")
+    lines, _ = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
+    drop_stored(docs.sparkSession, lines_path)
+    shapes = (lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
+              .select("leaf", "own", "n", F.split("line", " ").alias("tokens")))
     shapes, _ = stored(shapes, "shapes")
     placed = shapes.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     counted = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
@@ -83,12 +90,14 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
                .where(F.col("same") >= F.col("size") * SIMILARITY).select("leaf", "own", F.lit(True).alias("in_leaf")))
 
     # a template is the leaf's or the line's own
-    named = (slim.join(grouped, ["leaf", "own"], "left")
+    named = (lines.select("doc_id", "text_hash", "sketch", "pos", "leaf", "own").join(grouped, ["leaf", "own"], "left")
              .select("doc_id", "text_hash", "sketch", "pos",
                      F.when(F.col("in_leaf"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.xxhash64(F.lit("own"), "leaf", "own"))
                      .alias("template")))
     named, _ = stored(named, "templates")
-    repeated = _recurring(named.select("template", "sketch", "doc_id", "text_hash").distinct(), "template", min_docs, min_share)
+    # written, so that a template that a third of all lines have can be split in the join
+    repeated, _ = stored(_recurring(named.select("template", "sketch", "doc_id", "text_hash").distinct(),
+                                    "template", min_docs, min_share), "repeated")
     out = (named.join(repeated, "template")
            .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))))
     return out.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drops"))
