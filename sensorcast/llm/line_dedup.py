@@ -35,20 +35,25 @@ SIMILARITY = 0.7
 _FIELD = "<*>"
 
 
-def masked(text: Column) -> Column:
-    """The text in lower case with tokens between single blanks, line by line; tokens with digits are variable."""
-    blanks = F.regexp_replace(F.lower(text), r"[ \t\x0B\f\r\x00]+", " ")
-    return F.regexp_replace(blanks, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", _FIELD)
+def masked(lines: Column) -> Column:
+    """Lines in lower case with their tokens between single blanks; tokens with digits are variable."""
+    lower = F.transform(lines, lambda x: F.lower(x))
+    blanks = F.transform(lower, lambda x: F.when(
+        x.rlike(r"[\t\x0B\f\r\x00]|  "), F.regexp_replace(x, r"[ \t\x0B\f\r\x00]+", " ")).otherwise(x))
+    fields = F.transform(blanks, lambda x: F.when(
+        x.rlike("[0-9]"), F.regexp_replace(x, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", _FIELD)).otherwise(x))
+    return F.transform(fields, lambda x: F.trim(x))
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, sketch, pos, line, leaf, own)`` of every line with
     enough tokens; ``line`` is masked, its tokens stand between single blanks."""
-    raw = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    sketch = F.array_min(F.transform(raw, lambda x: F.xxhash64(x)))
-    rows = keyed.select("doc_id", "text_hash", sketch.alias("sketch"),
-                        F.posexplode(F.split(masked(F.col("text")), "\n")).alias("pos", "line"))
-    rows = rows.withColumn("line", F.trim("line"))
+    split = keyed.select("doc_id", "text_hash", F.split("text", "\n").alias("raw"))
+    sketch = F.array_min(F.transform(F.filter("raw", lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
+    # made before the lines are exploded, or else it would be made for every line; the outer kind, as there are
+    # always lines and the other has the masking done twice, also in an inferred filter
+    sketched = split.select("doc_id", "text_hash", sketch.alias("sketch"), masked(F.col("raw")).alias("lines"))
+    rows = sketched.select("doc_id", "text_hash", "sketch", F.posexplode_outer("lines").alias("pos", "line"))
     size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     rows = rows.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
     lead = F.concat_ws(" ", F.col("size").cast("string"), F.substring_index("line", " ", DEPTH))
