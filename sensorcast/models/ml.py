@@ -9,19 +9,19 @@
   values in one solve (121 x 72 normal equations); ``rollout_block`` (M8b)
   applies it block after block.
 * ``forest`` (M5): MLlib ``RandomForestRegressor``, one per label (MLlib is
-  single-output), and its hour-by-hour roll-out with the lineage written out
-  every few steps.
+  single-output), and its hour-by-hour roll-out in one pass.
 * ``PipelineModel`` save/load and ``predict_batch_udf`` scoring (M9, M10).
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, predict_batch_udf
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from sensorcast.functions.time import calendar_features, cyclic_features, step_t
 from sensorcast.models.gram import linear_fit
 from sensorcast.operators import windows as wn
 from sensorcast.operators.scale import attach_one_row
-from sensorcast.session import write_and_read
+from sensorcast.session import scratch_path, write_and_read
 
 KEYS = ["series_id"]
 VALUES = ["ts", "hr", "qfe"]
@@ -181,31 +181,69 @@ def forest_predict(models: dict, pairs: DataFrame) -> DataFrame:
     return out
 
 
+def forest_nodes(model) -> dict[str, np.ndarray]:
+    """A forest's nodes as flat arrays, read from its saved form (leaves have feature -1)."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "forest")
+    save_model(model, path)
+    n = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
+        F.col("nodeData.split.featureIndex").alias("feature"),
+        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold")).toPandas()
+    n = n.sort_values(["treeID", "id"])
+    trees = n["treeID"].to_numpy()
+    first = np.searchsorted(trees, np.arange(trees.max() + 1))
+    base = first[trees]
+    leaf = n["leftChild"].to_numpy() < 0
+    return {"root": first, "prediction": n["prediction"].to_numpy(),
+            "feature": np.where(leaf, -1, n["feature"].to_numpy()).astype(np.int32),
+            "threshold": n["threshold"].fillna(0.0).to_numpy(dtype=float),
+            "left": n["leftChild"].to_numpy() + base, "right": n["rightChild"].to_numpy() + base}
+
+
+def forest_values(nodes: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Mean over the trees for every row of ``x``: all rows go down one tree together."""
+    total = np.zeros(len(x))
+    rows = np.arange(len(x))
+    for root in nodes["root"]:
+        at = np.full(len(x), root)
+        while True:
+            f = nodes["feature"][at]
+            inner = f >= 0
+            if not inner.any():
+                break
+            down = np.where(x[rows, f] <= nodes["threshold"][at], nodes["left"][at], nodes["right"][at])
+            at = np.where(inner, down, at)
+        total += nodes["prediction"][at]
+    return total / len(nodes["root"])
+
+
 def rollout_forest(models: dict, start: DataFrame, horizon: int = 72, keys: list[str] = KEYS,
-                   time_col: str = "utc", cut_every: int = 1) -> DataFrame:
-    """Hour-by-hour roll-out of the forests for all series at once.
+                   time_col: str = "utc") -> DataFrame:
+    """Hour-by-hour roll-out of the forests for all series, in one pass.
 
-    Tree models are not Spark expressions, so this is a loop of ``horizon``
-    vectorised ``transform`` calls over one row per series; every
-    ``cut_every`` steps the state (one row per series) is written to the
-    shared checkpoint folder, so no step recomputes the ones before it.
+    Each task takes batches of start rows (one row per series) through all
+    ``horizon`` steps.  The forests are sent to each executor once, as arrays
+    of about 40 bytes a node; MLlib sends them for every ``transform``.  A
+    series whose start row has a null gets null values.
     """
-    assembler = VectorAssembler(inputCols=FOREST_FEATURES, outputCol="features")
-    state = start.select(*keys, F.col(time_col).alias("_t"), *VALUES)
-    steps = []
-    for i in range(1, horizon + 1):
-        cur = calendar_features(state.withColumnRenamed("_t", time_col), year=False)
-        pred = forest_predict(models, assembler.transform(cur))
-        nxt = pred.select(*keys, step_time(time_col, 1).alias("_t"),
-                          *[F.col(f"{v}_pred").alias(v) for v in VALUES])
-        if i % cut_every == 0:
-            nxt = write_and_read(nxt, "forest-rollout")
-        steps.append(nxt.withColumn("step", F.lit(i)))
-        state = nxt
-    out = steps[0]
-    for s in steps[1:]:
-        out = out.unionByName(s)
-    return out.select(*keys, "step", F.col("_t").alias(time_col), *VALUES)
+    shared = start.sparkSession.sparkContext.broadcast({v: forest_nodes(models[v]) for v in VALUES})
+    state = start.select(*keys, F.col(time_col).cast("timestamp_ntz").alias(time_col), *[F.col(v).cast("double") for v in VALUES])
+    schema = T.StructType([*[state.schema[k] for k in keys], T.StructField("step", T.IntegerType()),
+                           state.schema[time_col], *[T.StructField(v, T.DoubleType()) for v in VALUES]])
+
+    def run(batches):
+        for batch in batches:
+            now, x = batch[time_col], batch[VALUES].to_numpy(dtype=float)
+            known = ~np.isnan(x).any(axis=1)
+            for i in range(1, horizon + 1):
+                full = np.column_stack([x, now.dt.hour, now.dt.day, now.dt.month])
+                x = np.column_stack([forest_values(shared.value[v], full) for v in VALUES])
+                x[~known] = np.nan
+                now = now + pd.Timedelta(hours=1)
+                yield batch[keys].assign(step=np.int32(i), **{time_col: now}, **{
+                    v: pd.Series(x[:, j], index=batch.index).astype(object).where(known, None) for j, v in enumerate(VALUES)})
+    return state.mapInPandas(run, schema)
 
 
 # ------------------------------------------------------------------ M9, M10
@@ -239,5 +277,3 @@ def coefficient_batch_udf(coef: list[list[float]]):
     return predict_batch_udf(make, return_type=T.ArrayType(T.DoubleType()), batch_size=4096,
                              input_tensor_shapes=[[w.shape[0] - 1]])
 
-
-__all__ = ["array_to_vector"]

@@ -46,9 +46,10 @@ def window_regression(spark, sf_dir):
 
 @register("direct_multihorizon")
 def direct_multihorizon(spark, sf_dir):
-    frame = ml.seq2seq_frame(hourly_table(spark, sf_dir))
-    fit = ml.direct_multihorizon_fit(frame)
-    pred = ml.direct_multihorizon_predict(fit, frame)
+    s = sp.split_train_test(hourly_table(spark, sf_dir), 0.9)
+    frame = ml.seq2seq_frame(s, keys=["series_id", "split"])
+    fit = ml.direct_multihorizon_fit(frame.filter(F.col("split") == "train"))
+    pred = ml.direct_multihorizon_predict(fit, frame.filter(F.col("split") == "test"))
     z = pred.select("series_id", "utc", F.posexplode(F.arrays_zip("pred", "yflat")).alias("k", "z"))
     return z.select("series_id", "utc", "k", F.round(F.col("z.pred"), 6).alias("pred"),
                     F.round(F.col("z.yflat"), 6).alias("actual"))
