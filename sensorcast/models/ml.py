@@ -152,6 +152,8 @@ def rollout_block(fit: DataFrame, history: DataFrame, keys: list[str] = KEYS, wi
 # ------------------------------------------------------------------ M5 forest
 
 FOREST_FEATURES = VALUES + CAL
+# rows that go down the trees of a forest at a time: a few arrays of rows x trees
+ROWS_DOWN = 4096
 
 
 def forest_pairs(df: DataFrame, keys: list[str] = KEYS, split_col: str | None = None) -> DataFrame:
@@ -202,20 +204,22 @@ def forest_nodes(model) -> dict[str, np.ndarray]:
 
 
 def forest_values(nodes: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Mean over the trees for every row of ``x``: all rows go down one tree together."""
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for root in nodes["root"]:
-        at = np.full(len(x), root)
+    """Mean over the trees for every row of ``x``: all rows go down all trees together, level by level."""
+    out = np.zeros(len(x))
+    for start in range(0, len(x), ROWS_DOWN):
+        part = x[start:start + ROWS_DOWN]
+        rows = np.arange(len(part))
+        at = np.repeat(nodes["root"][:, None], len(part), axis=1)
         while True:
             f = nodes["feature"][at]
             inner = f >= 0
             if not inner.any():
                 break
-            down = np.where(x[rows, f] <= nodes["threshold"][at], nodes["left"][at], nodes["right"][at])
+            down = np.where(part[rows, f] <= nodes["threshold"][at], nodes["left"][at], nodes["right"][at])
             at = np.where(inner, down, at)
-        total += nodes["prediction"][at]
-    return total / len(nodes["root"])
+        for tree in nodes["prediction"][at]:  # tree after tree, the order in which MLlib adds
+            out[start:start + ROWS_DOWN] += tree
+    return out / len(nodes["root"])
 
 
 def rollout_forest(models: dict, start: DataFrame, horizon: int = 72, keys: list[str] = KEYS,
