@@ -87,6 +87,17 @@ class WordEncoder:
         return [b"".join(map(get, s)) for s in split]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def worker_encoder(definition: str) -> WordEncoder:
+    """The encoder of this Python worker: later tasks find the words of earlier ones."""
+    if definition not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[definition] = WordEncoder(definition)
+    return _ENCODERS[definition]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])`` of every document.
 
@@ -101,7 +112,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     def run(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(shared.value)
+        encoder = worker_encoder(shared.value)
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()
             for first, last, *_ in text_slices(batch):
