@@ -16,7 +16,7 @@ VALUES = ["ts", "hr", "qfe"]
 
 
 def daily_forecast(raw: DataFrame, fit: DataFrame, history_hours: int = 48, horizon: int = 72,
-                   first_step: int = 1, model: str = "ar1", digits: int = 3) -> DataFrame:
+                   first_step: int = 1, digits: int = 3) -> DataFrame:
     """Each series' last two days of raw rows -> hourly mean -> gap grid -> interpolation -> AR(1)
     roll-out over ``horizon`` hours for every series -> rounding -> forecast rows.
 
@@ -28,7 +28,7 @@ def daily_forecast(raw: DataFrame, fit: DataFrame, history_hours: int = 48, hori
     last = last_observation(hourly)
     fc = ar.ar1_forecast(fit, last, horizon, first_step=first_step)
     run = last.select("series_id", F.col("utc").alias("run_utc"))
-    out = fc.join(run, "series_id").withColumn("model", F.lit(model))
+    out = fc.join(run, "series_id").withColumn("model", F.lit("ar1"))
     out = round_columns(out, VALUES, digits)
     return out.select("series_id", "model", "run_utc", "step", "utc", *VALUES)
 
