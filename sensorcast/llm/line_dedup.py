@@ -9,8 +9,11 @@ The other lines have their own masked text as template.  A template that
 recurs across documents is boilerplate and its lines are dropped, except in
 the document with the smallest id.
 
-Copies of one document are not many documents: documents are counted by a
-sketch (the least hash of their lines), which copies and near copies share.
+Copies of one document are not many documents: documents are counted by groups
+of alike ones.  A document is alike to the first document with the same least
+line hash, for any of eight hash functions, when half of their lines are the
+same, one shared line (the one that is tested) left aside.  So no single line
+decides, however low it hashes.
 Lines are masked once and written; only the lines of recurring leaves go on, and
 of them only hashes are shuffled, and the tokens of every distinct one.
 """
@@ -27,6 +30,10 @@ MIN_TOKENS = 3
 MIN_DOCS = 8
 # of the documents with a template, at least this share must be unlike each other
 MIN_SHARE = 0.5
+# alike documents are looked for by the least line hash of so many hash functions
+SKETCHES = 8
+# lines of a document that are compared, those with the least hashes
+COMPARED = 64
 # a constant is the token of at least this share of a leaf's lines
 CONSTANT_SHARE = 0.5
 # a line belongs to the leaf's template when it has this share of the tokens as constants
@@ -46,28 +53,54 @@ def masked(lines: Column) -> Column:
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, sketch, pos, line, leaf, own)`` of every line with
+    """``(doc_id, text_hash, pos, line, leaf, own)`` of every line with
     enough tokens; ``line`` is masked, its tokens stand between single blanks."""
-    split = keyed.select("doc_id", "text_hash", F.split("text", "\n").alias("raw"))
-    sketch = F.array_min(F.transform(F.filter("raw", lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
     # made before the lines are exploded, or else it would be made for every line; the outer kind, as there are
     # always lines and the other has the masking done twice, also in an inferred filter
-    sketched = split.select("doc_id", "text_hash", sketch.alias("sketch"), masked(F.col("raw")).alias("lines"))
-    rows = sketched.select("doc_id", "text_hash", "sketch", F.posexplode_outer("lines").alias("pos", "line"))
+    split = keyed.select("doc_id", "text_hash", masked(F.split("text", "\n")).alias("lines"))
+    rows = split.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("pos", "line"))
     size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     rows = rows.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
     lead = F.concat_ws(" ", F.col("size").cast("string"), F.substring_index("line", " ", DEPTH))
-    return rows.select("doc_id", "text_hash", "sketch", "pos", "line", F.xxhash64(lead).alias("leaf"),
+    return rows.select("doc_id", "text_hash", "pos", "line", F.xxhash64(lead).alias("leaf"),
                        F.xxhash64("line").alias("own"))
 
 
-def _recurring(rows: DataFrame, key: str, min_docs: int, min_share: float) -> DataFrame:
-    """Keys with enough unlike documents: ``(key, first)``, the first document of each."""
-    per = rows.groupBy(key, "sketch").agg(
+def _alike(keyed: DataFrame) -> DataFrame:
+    """``(text_hash, group)`` of the texts that are alike to one with a smaller
+    hash; any other text is a group of its own."""
+    hashes = F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))
+    texts = keyed.select("text_hash", F.array_sort(F.array_distinct(hashes)).alias("hashes")).where(F.size("hashes") > 0)
+    least = F.array(*[F.array_min(F.transform("hashes", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(SKETCHES)])
+    texts, _ = stored(texts.select("text_hash", F.slice("hashes", 1, COMPARED).alias("hashes"), least.alias("least")), "line-sets")
+    # copies have the same text hash and are one row from here on
+    places = texts.select("text_hash", F.posexplode("least").alias("k", "value")).distinct()
+    firsts = (places.groupBy("k", "value").agg(F.min("text_hash").alias("first"), F.max("text_hash").alias("last"))
+              .where("first <> last").select("k", "value", "first"))
+    firsts, _ = stored(firsts, "line-set-firsts")
+    places, _ = stored(places, "line-set-places")
+    # written, so that a line that a third of all texts have as their least can be split in the join
+    pairs, _ = stored(places.join(firsts, ["k", "value"]).where("text_hash <> first").select("text_hash", "first").distinct(), "line-set-pairs")
+    sets = texts.groupBy("text_hash").agg(F.first("hashes").alias("hashes"))
+    met = (pairs.join(sets, "text_hash").withColumnRenamed("hashes", "a")
+           .join(sets.select(F.col("text_hash").alias("first"), F.col("hashes").alias("b")), "first"))
+    both = F.slice(F.array_sort(F.array_union("a", "b")), 1, COMPARED)
+    same = F.size(F.array_intersect(both, F.array_intersect("a", "b")))
+    alike, _ = stored(met.where((same - 1) * 2 >= F.size(both) - 1).groupBy("text_hash").agg(F.min("first").alias("group")), "alike")
+    # the first document may be alike to an earlier one
+    up = alike.select(F.col("text_hash").alias("group"), F.col("group").alias("up"))
+    return alike.join(up, "group", "left").select("text_hash", F.coalesce("up", "group").alias("group"))
+
+
+def _recurring(rows: DataFrame, alike: DataFrame, min_docs: int, min_share: float) -> DataFrame:
+    """Templates with enough unlike documents: ``(template, first)``, the first document of each."""
+    per = rows.groupBy("template", "text_hash").agg(
         F.count(F.lit(1)).alias("docs"),
         F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    return (per.groupBy(key).agg(F.count(F.lit(1)).alias("unlike"), F.sum("docs").alias("docs"), F.min("first").alias("first"))
-            .where((F.col("unlike") >= min_docs) & (F.col("unlike") >= F.col("docs") * min_share)).select(key, "first"))
+    per = (per.join(alike, "text_hash", "left").groupBy("template", F.coalesce("group", "text_hash").alias("group"))
+           .agg(F.sum("docs").alias("docs"), F.min("first").alias("first")))
+    return (per.groupBy("template").agg(F.count(F.lit(1)).alias("unlike"), F.sum("docs").alias("docs"), F.min("first").alias("first"))
+            .where((F.col("unlike") >= min_docs) & (F.col("unlike") >= F.col("docs") * min_share)).select("template", "first"))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -76,9 +109,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
         .withColumn("text_hash", F.xxhash64("text")).where("text <> ''")
     lines, lines_path = stored(_lines(keyed), "lines")
 
+    alike, _ = stored(_alike(keyed), "alike-groups")
+
     # a template recurs in a leaf that recurs: the lines of other leaves are done with
-    leaves, _ = stored(lines.select("leaf", "sketch").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("unlike"))
-                       .where(F.col("unlike") >= min_docs).select("leaf"), "leaves")
+    leaves, _ = stored(lines.select("leaf", "text_hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
+                       .where(F.col("texts") >= min_docs).select("leaf"), "leaves")
     lines, _ = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
     drop_stored(docs.sparkSession, lines_path)
     shapes = (lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
@@ -95,14 +130,14 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
                .where(F.col("same") >= F.col("size") * SIMILARITY).select("leaf", "own", F.lit(True).alias("in_leaf")))
 
     # a template is the leaf's or the line's own
-    named = (lines.select("doc_id", "text_hash", "sketch", "pos", "leaf", "own").join(grouped, ["leaf", "own"], "left")
-             .select("doc_id", "text_hash", "sketch", "pos",
+    named = (lines.select("doc_id", "text_hash", "pos", "leaf", "own").join(grouped, ["leaf", "own"], "left")
+             .select("doc_id", "text_hash", "pos",
                      F.when(F.col("in_leaf"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.xxhash64(F.lit("own"), "leaf", "own"))
                      .alias("template")))
     named, _ = stored(named, "templates")
     # written, so that a template that a third of all lines have can be split in the join
-    repeated, _ = stored(_recurring(named.select("template", "sketch", "doc_id", "text_hash").distinct(),
-                                    "template", min_docs, min_share), "repeated")
+    repeated, _ = stored(_recurring(named.select("template", "doc_id", "text_hash").distinct(),
+                                    alike, min_docs, min_share), "repeated")
     out = (named.join(repeated, "template")
            .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))))
     return out.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drops"))

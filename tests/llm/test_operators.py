@@ -107,6 +107,15 @@ def test_line_dedup(spark, edge):
     assert line_dedup.dedup_lines(edge).count() == 10 and line_dedup.dedup_lines(edge.limit(0)).count() == 0
 
 
+def test_line_dedup_line_that_hashes_lowest(spark):
+    texts = [f"own {chr(97 + i)} words only here {chr(98 + i)}\nanother {chr(97 + i)} line of it" for i in range(12)]
+    some = spark.createDataFrame([(f"Foot {chr(97 + i // 26)}{chr(97 + i % 26)} of every page here",) for i in range(600)], "line string")
+    low, next_low = [r.line for r in some.orderBy(F.xxhash64("line")).limit(2).collect()]
+    docs = spark.createDataFrame([(i, f"{t}\n{low}\n{next_low}") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[0].n_dropped == 0 and all(got[i].text == texts[i] and got[i].n_dropped == 2 for i in range(1, 12))
+
+
 def test_embeddings(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.01], 2), (5, [0.0, 0.0], 1), (6, None, 1),
