@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,29 @@ def test_embeddings(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") == 1).count() == 0
 
 
+def test_nearest_with_a_third_copies(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(3000, 16))
+    x[r.permutation(3000)[:1000]] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in ann.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(row.query_id, {})[row.rank] = row.vec_id
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    same = (x == x[0]).all(axis=1)
+    recall, in_copies = [], 0
+    for q in range(0, 3000, 20):
+        if same[q]:  # the smallest ids of the copies
+            assert [got[q][k] for k in range(1, 6)] == [i for i in np.flatnonzero(same)[:6] if i != q][:5]
+            in_copies += 1
+            continue
+        score = u @ u[q]
+        score[same] = score[same].max()
+        score[q] = -2
+        recall.append(len(set(np.lexsort((np.arange(3000), -score))[:5].tolist()) & set(got[q].values())) / 5)
+    assert in_copies > 20 and np.mean(recall) > 0.85
+
+
 def test_edit_counts(spark, edge):
     edits = spark.createDataFrame([(1, 0, 0, 3, "a"), (1, 1, 5, 5, None), (4, 0, 0, 9, "new words"), (None, 0, 0, 1, "x"),
                                    (6, 0, 7, None, "x")], "doc_id long, seq int, start int, stop int, replacement string")
