@@ -6,8 +6,10 @@ a variable field.  In a leaf that recurs, the token that most lines have at a
 place is a constant of the leaf's template and places without such a token
 are variable; lines that agree with enough constants belong to the template.
 The other lines have their own masked text as template.  A template that
-recurs across documents is boilerplate and its lines are dropped, except in
-the document with the smallest id.
+recurs across unlike documents is boilerplate and its lines are dropped, except
+in the document with the smallest id.  Short sentences recur by chance, long
+passages do not: eight unlike documents are needed up to 14 words, fewer with
+every word more, and two from 50 words on.
 
 Copies of one document are not many documents: documents are counted by groups
 of alike ones.  A document is alike to the first document with the same least
@@ -28,13 +30,13 @@ from sensorcast.llm.common import drop_stored, stored
 DEPTH = 3
 MIN_TOKENS = 3
 MIN_DOCS = 8
-# of the documents with a template, at least this share must be unlike each other
-MIN_SHARE = 0.5
+# a template of so many tokens recurs when two unlike documents have it
+LONG_TOKENS = 50
 # alike documents are looked for by the least line hash of so many hash functions
 SKETCHES = 8
 # lines of a document that are compared, those with the least hashes
 COMPARED = 64
-# a constant is the token of at least this share of a leaf's lines
+# a constant is the token of more than this share of a leaf's lines
 CONSTANT_SHARE = 0.5
 # a line belongs to the leaf's template when it has this share of the tokens as constants
 SIMILARITY = 0.7
@@ -53,7 +55,7 @@ def masked(lines: Column) -> Column:
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, pos, line, leaf, own)`` of every line with
+    """``(doc_id, text_hash, pos, line, size, leaf, own)`` of every line with
     enough tokens; ``line`` is masked, its tokens stand between single blanks."""
     # made before the lines are exploded, or else it would be made for every line; the outer kind, as there are
     # always lines and the other has the masking done twice, also in an inferred filter
@@ -62,7 +64,7 @@ def _lines(keyed: DataFrame) -> DataFrame:
     size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     rows = rows.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
     lead = F.concat_ws(" ", F.col("size").cast("string"), F.substring_index("line", " ", DEPTH))
-    return rows.select("doc_id", "text_hash", "pos", "line", F.xxhash64(lead).alias("leaf"),
+    return rows.select("doc_id", "text_hash", "pos", "line", "size", F.xxhash64(lead).alias("leaf"),
                        F.xxhash64("line").alias("own"))
 
 
@@ -92,18 +94,21 @@ def _alike(keyed: DataFrame) -> DataFrame:
     return alike.join(up, "group", "left").select("text_hash", F.coalesce("up", "group").alias("group"))
 
 
-def _recurring(rows: DataFrame, alike: DataFrame, min_docs: int, min_share: float) -> DataFrame:
+def _needed(min_docs: int) -> Column:
+    """Unlike documents that a template of ``size`` tokens needs: ``min_docs`` for short ones, two for long ones."""
+    return F.greatest(F.lit(min(2, min_docs)), F.least(F.lit(min_docs), F.ceil(F.lit(2 * LONG_TOKENS) / F.col("size"))))
+
+
+def _recurring(rows: DataFrame, alike: DataFrame, min_docs: int) -> DataFrame:
     """Templates with enough unlike documents: ``(template, first)``, the first document of each."""
-    per = rows.groupBy("template", "text_hash").agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    per = (per.join(alike, "text_hash", "left").groupBy("template", F.coalesce("group", "text_hash").alias("group"))
-           .agg(F.sum("docs").alias("docs"), F.min("first").alias("first")))
-    return (per.groupBy("template").agg(F.count(F.lit(1)).alias("unlike"), F.sum("docs").alias("docs"), F.min("first").alias("first"))
-            .where((F.col("unlike") >= min_docs) & (F.col("unlike") >= F.col("docs") * min_share)).select("template", "first"))
+    per = rows.groupBy("template", "size", "text_hash").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    per = (per.join(alike, "text_hash", "left").groupBy("template", "size", F.coalesce("group", "text_hash").alias("group"))
+           .agg(F.min("first").alias("first")))
+    return (per.groupBy("template", "size").agg(F.count(F.lit(1)).alias("unlike"), F.min("first").alias("first"))
+            .where(F.col("unlike") >= _needed(min_docs)).select("template", "first"))
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(doc_id, text_hash, drops)``: line numbers to drop, for documents that have some."""
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text")).where("text <> ''")
@@ -112,8 +117,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
     alike, _ = stored(_alike(keyed), "alike-groups")
 
     # a template recurs in a leaf that recurs: the lines of other leaves are done with
-    leaves, _ = stored(lines.select("leaf", "text_hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
-                       .where(F.col("texts") >= min_docs).select("leaf"), "leaves")
+    leaves, _ = stored(lines.select("leaf", "size", "text_hash").distinct().groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("texts"))
+                       .where(F.col("texts") >= _needed(min_docs)).select("leaf"), "leaves")
     lines, _ = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
     drop_stored(docs.sparkSession, lines_path)
     shapes = (lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
@@ -122,7 +127,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
     placed = shapes.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     counted = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     top = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("total"))
-    constants = (top.where(F.col("top.n") >= F.col("total") * CONSTANT_SHARE)
+    constants = (top.where(F.col("top.n") > F.col("total") * CONSTANT_SHARE)
                  .select("leaf", "place", F.col("top.token").alias("token")))
     agreeing = (shapes.select("leaf", "own", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
                 .join(constants, ["leaf", "place", "token"], "left_semi"))
@@ -130,20 +135,20 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
                .where(F.col("same") >= F.col("size") * SIMILARITY).select("leaf", "own", F.lit(True).alias("in_leaf")))
 
     # a template is the leaf's or the line's own
-    named = (lines.select("doc_id", "text_hash", "pos", "leaf", "own").join(grouped, ["leaf", "own"], "left")
-             .select("doc_id", "text_hash", "pos",
+    named = (lines.select("doc_id", "text_hash", "pos", "size", "leaf", "own").join(grouped, ["leaf", "own"], "left")
+             .select("doc_id", "text_hash", "pos", "size",
                      F.when(F.col("in_leaf"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.xxhash64(F.lit("own"), "leaf", "own"))
                      .alias("template")))
     named, _ = stored(named, "templates")
     # written, so that a template that a third of all lines have can be split in the join
-    repeated, _ = stored(_recurring(named.select("template", "doc_id", "text_hash").distinct(),
-                                    alike, min_docs, min_share), "repeated")
+    repeated, _ = stored(_recurring(named,
+                                    alike, min_docs), "repeated")
     out = (named.join(repeated, "template")
            .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))))
     return out.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The rows with recurring lines dropped from ``text``, and ``n_lines`` and
     ``n_dropped``.
 
@@ -153,7 +158,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MI
     before all others.  Other columns stay (columns named ``n_lines`` or
     ``n_dropped`` are replaced); an empty table gives an empty result.
     """
-    drops = dropped_lines(docs, min_docs, min_share).select(
+    drops = dropped_lines(docs, min_docs).select(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("drops").alias("_drops"))
     base = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = base.join(drops, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left")

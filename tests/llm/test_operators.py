@@ -117,6 +117,26 @@ def test_line_dedup_line_that_hashes_lowest(spark):
     assert got[0].n_dropped == 0 and all(got[i].text == texts[i] and got[i].n_dropped == 2 for i in range(1, 12))
 
 
+def test_line_dedup_counts_unlike_documents_by_length(spark):
+    def own(i):
+        return f"own {chr(97 + i)} words only here {chr(98 + i)}\nanother {chr(97 + i)} line of it"
+    long = " ".join(f"{a}{b}" for a in "bcdfghkl" for b in "aeiouyw")
+    other = " ".join(["ba", "be", "bi"] + [f"{a}{b}" for a in "mnpqrstv" for b in "aeiouyw"][3:])  # of the same leaf
+    rows = [(i, f"{own(i)}\n{long}") for i in range(2)] + [(2, f"{own(2)}\n{other}")]
+    rows += [(10 + i, f"{own(10 + i)}\na short common sentence") for i in range(7)]
+    # many copies of one document do not keep a line that unlike documents share
+    rows += [(30 + i, f"{chr(97 + i)} single page of text\nthe {chr(97 + i)} second row of it\nfoot of all the pages") for i in range(9)]
+    rows += [(100 + i, "a copied document line\nwith a second line here\nfoot of all the pages") for i in range(40)]
+    body = [f"near copied {chr(97 + k)} line" for k in range(9)]
+    rows += [(200 + i, "\n".join([*body, f"edit {chr(97 + i % 26)}{chr(97 + i // 26)} line"])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[0] == 0 and got[1] == 1 and got[2] == 0
+    assert all(got[10 + i] == 0 for i in range(7))
+    assert got[30] == 0 and all(got[30 + i] == 1 for i in range(1, 9)) and all(got[100 + i] == 1 for i in range(40))
+    assert all(got[200 + i] == 0 for i in range(30))
+
+
 def test_embeddings(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.01], 2), (5, [0.0, 0.0], 1), (6, None, 1),
