@@ -7,11 +7,16 @@ the template's first ``|T| - need + 1`` words (prefix filter), have at least
 ``need`` template words (length filter), and, from the places of the first
 common word in both sets, still be able to reach ``need`` (positional filter).
 Survivors are counted exactly, so no block above the threshold is missed.
+
+Notices wrapped over lines are found in windows of a document's words: for
+every template that the document reaches as a whole, the window of as many
+words as the template has, from each of its words on, is counted exactly.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +62,6 @@ def word_list(text: Column) -> Column:
 
 
 def template_words(text: str) -> list[str]:
-    import re
     return sorted(set(re.findall(WORD, text.lower())))
 
 
@@ -84,13 +88,28 @@ def _base(words: Column, text: Column) -> Column:
     return F.concat(*parts)
 
 
+def _windows(kept: DataFrame, templates: DataFrame) -> DataFrame:
+    """``(row, label, share)`` of templates found in a window of a document's words, whatever its lines."""
+    reached = (kept.where("text is not null").join(
+        F.broadcast(templates), F.size(F.array_intersect("hits", "t_words")) >= F.col("need"))
+        .select("row", "label", "size", "need", "length", "t_words", word_list(F.col("text")).alias("words")))
+    # written, or else the filter on common is pushed down and the words are made again for every place
+    reached, _ = stored(reached, "license-words")
+    # a window can begin at the first template word that it holds
+    starts = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains("t_words", F.get("words", i)))
+    common = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(
+        F.slice("words", i + 1, F.col("length")), F.col("t_words")))))
+    return (reached.withColumn("common", common).where("common >= need")
+            .select("row", "label", (F.col("common") / F.col("size")).alias("share")))
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)``.
 
     Null and empty texts have no words, places or labels and score 0.  Each
     input row gives one output row, repeated ones and those with a null
     ``doc_id`` too.  ``score`` is the largest share of a template found in a
-    line, 1 where a phrase stands, 0 where nothing reaches the threshold.
+    line or in a window of the template's length, 1 where a phrase stands, 0 where nothing reaches the threshold.
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -124,6 +143,9 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     prefixes = F.broadcast(spark.createDataFrame(prefix_rows, "template int, w string, t_place int"))
     members = F.broadcast(spark.createDataFrame(sets, "template int, label string, size int, need int, t_words array<string>"))
 
+    lengths = spark.createDataFrame([(i, len(re.findall(WORD, text.lower()))) for i, (_, text) in enumerate(TEMPLATES)],
+                                    "template int, length int")
+
     rank = F.create_map(*[F.lit(x) for w, k in order.items() for x in (w, k)])
     lines = (kept.where("text is not null")
              .select("row", F.posexplode(F.split("text", "\n")).alias("line", "block"))
@@ -137,8 +159,9 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
               .where(1 + F.least(F.col("size") - F.col("t_place") - 1, F.size("b") - F.col("b_place") - 1)
                      + F.least("t_place", "b_place") >= F.col("need")))
     matched = (joined.withColumn("common", F.size(F.array_intersect("b", "t_words"))).where("common >= need")
-               .groupBy("row").agg(F.collect_set("label").alias("found"),
-                                   F.max(F.col("common") / F.col("size")).alias("share")))
+               .select("row", "label", (F.col("common") / F.col("size")).alias("share")))
+    matched = (matched.unionByName(_windows(kept, lengths.join(members, "template")))
+               .groupBy("row").agg(F.collect_set("label").alias("found"), F.max("share").alias("share")))
 
     out = kept.drop("text", "hits").join(matched, "row", "left")
     base_labels = F.array_sort(F.array_distinct(F.transform("base", lambda s: s["label"])))

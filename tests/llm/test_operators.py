@@ -97,6 +97,17 @@ def test_license_scan(spark, edge):
     assert licenses.scan(edge).count() == 10 and licenses.scan(edge.limit(0)).count() == 0
 
 
+def test_license_scan_wrapped_notices(spark):
+    def wrapped(template, width, lead):
+        words = licenses.TEMPLATES[template][1].split()
+        return "own code\n" + "\n".join(lead + " ".join(words[i:i + width]) for i in range(0, len(words), width)) + "\nmore code"
+    texts = [wrapped(3, 8, " * "), wrapped(5, 6, "# "), wrapped(6, 9, "// "), wrapped(0, 1, ""),
+             ("\n" + "filler of other text " * 8 + "\n").join(licenses.TEMPLATES[3][1].split())]
+    rows = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[i].labels for i in range(5)] == ["mit", "gpl", "bsd", "apache-2.0", ""]
+    assert all(rows[i].score == 1.0 for i in range(4)) and rows[4].score == 0.0
+
+
 def test_line_dedup(spark, edge):
     lines = [(i, f"own {chr(97 + i)} words only here {chr(98 + i)}\nPage {i} of the big site map\nshort one") for i in range(12)]
     copies = [(100 + i, "a copied document line\nwith a second line here") for i in range(20)]
