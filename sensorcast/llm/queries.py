@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorcast.llm import ann, bpe, edit_counts, embedding_dedup, licenses, line_dedup, minhash, packing, pii, toxicity
+from sensorcast.llm import (ann, bpe, edit_counts, embedding_dedup, exact_dedup, licenses, line_dedup, minhash, packing, periodic_runs,
+                            pii, toxicity)
 from sensorcast.llm.common import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -75,7 +76,38 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.count_edited(docs, edits_of(docs), public_file(BYTE_RANKS), _pattern())
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; in every tenth document by crc32 of the id the words
+    from a chosen place on repeat a chosen number of words.  Texts with a null
+    id stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    arranged = docs.where(h % 10 == 0).select("doc_id", "text", words.alias("_w"), n.cast("long").alias("_n"), g.cast("long").alias("_g"))
+    a = F.col("_g") % F.col("_n")
+    p = 1 + F.floor((F.col("_n") - a) / (3 + F.col("_g") % 8))
+    head = F.slice("_w", F.lit(1), a.cast("int"))
+    cycle = F.slice("_w", (a + 1).cast("int"), p.cast("int"))
+    whole = F.slice(F.concat(head, F.flatten(F.array_repeat(cycle, F.ceil((F.col("_n") - a) / p).cast("int")))), F.lit(1), F.col("_n").cast("int"))
+    return docs.where((h % 10 != 0) | h.isNull()).select("doc_id", "text").unionByName(
+        arranged.select("doc_id", F.when(F.col("_n") > 0, F.concat_ws(" ", whole)).otherwise(F.col("text")).alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(with_planted_periods(table(spark, sf_dir, "documents")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+OP13_SQL = """WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_ann_permutation, op4_pii, op5_toxicity, op6_minhash_near_dedup, op7_line_dedup, op8_byte_bpe, op9_license_scan,
-    op10_token_counts)}
-ORACLE: dict[str, str] = {}
+    op10_token_counts, op12_periodic_runs, op13_exact_dedup)}
+ORACLE: dict[str, str] = {"op13_exact_dedup": OP13_SQL}
