@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorcast.llm import (ann, bpe, edit_counts, embedding_dedup, exact_dedup, licenses, line_dedup, minhash, packing, periodic_runs,
-                            pii, toxicity)
+from sensorcast.llm import (ann, bpe, collocations, edit_counts, embedding_dedup, exact_dedup, licenses, line_dedup, minhash, packing,
+                            periodic_runs, pii, toxicity)
 from sensorcast.llm.common import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -76,6 +76,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.count_edited(docs, edits_of(docs), public_file(BYTE_RANKS), _pattern())
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (SELECT f.lang, f.k, f.phrase, f.f AS a, c.cut, string_split(f.phrase, ' ') AS ws FROM f, (SELECT unnest([1, 2, 3]) AS cut) c WHERE c.cut < f.k),
+sides AS (SELECT c.lang, c.k, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS score FROM cuts c
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+best AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+subs AS (SELECT lang, k, f, string_split(phrase, ' ') AS ws, s.size, unnest(range(1, k - s.size + 2)) AS i
+      FROM f, (SELECT unnest([2, 3]) AS size) s WHERE f.k > s.size),
+cover AS (SELECT lang, array_to_string(ws[i:i + size - 1], ' ') AS phrase, max(f) AS longer FROM subs GROUP BY ALL),
+ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, b.l, b.r, n.n,
+      CAST(b.score AS BIGINT) AS score
+      FROM best b JOIN n USING (lang) LEFT JOIN cover c ON c.lang = b.lang AND c.phrase = b.phrase
+      WHERE c.longer IS NULL OR CAST(100 AS HUGEINT) * c.longer < CAST(80 AS HUGEINT) * b.a)
+SELECT * FROM ranked WHERE rank <= 2000"""
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)``; in every tenth document by crc32 of the id the words
     from a chosen place on repeat a chosen number of words.  Texts with a null
@@ -109,5 +136,5 @@ FROM d WINDOW w AS (PARTITION BY t)"""
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_ann_permutation, op4_pii, op5_toxicity, op6_minhash_near_dedup, op7_line_dedup, op8_byte_bpe, op9_license_scan,
-    op10_token_counts, op12_periodic_runs, op13_exact_dedup)}
-ORACLE: dict[str, str] = {"op13_exact_dedup": OP13_SQL}
+    op10_token_counts, op11_phrase_collocations, op12_periodic_runs, op13_exact_dedup)}
+ORACLE: dict[str, str] = {"op11_phrase_collocations": OP11_SQL, "op13_exact_dedup": OP13_SQL}

@@ -6,9 +6,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from sensorcast.llm import exact_dedup, periodic_runs, queries
+from sensorcast.llm import collocations, exact_dedup, periodic_runs, queries
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -153,3 +154,81 @@ def test_collapse_runs(spark):
     assert periodic_runs.collapse_runs(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         periodic_runs.collapse_runs(docs, min_repeats=3)
+
+
+# --- phrase collocations
+def brute_phrases(rows, threshold, covered, top):
+    counts, totals = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, 5):
+                counts[lang].update(" ".join(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, c in counts.items():
+        c = {p: n for p, n in c.items() if n >= threshold}
+        long = Counter()
+        for p, n in c.items():
+            w = p.split(" ")
+            for k in range(2, len(w)):
+                for i in range(len(w) - k + 1):
+                    sub = " ".join(w[i:i + k])
+                    long[sub] = max(long[sub], n)
+        found = []
+        for p, a in c.items():
+            w = p.split(" ")
+            if len(w) > 1 and 100 * long[p] < covered * a:
+                s, _, l, r = min((2000000 * a // (c[" ".join(w[:k])] + c[" ".join(w[k:])]), k, c[" ".join(w[:k])], c[" ".join(w[k:])])
+                                 for k in range(1, len(w)))
+                found.append((-s, -a, p.encode(), p, a, l, r, s))
+        out += [(lang, i + 1, p, a, l, r, totals[lang], s) for i, (_, _, _, p, a, l, r, s) in enumerate(sorted(found)[:top])]
+    return sorted(out)
+
+
+def phrase_rows():
+    rng = random.Random(9)
+    names = ["of", "the", "and", "Tea", "tea", "É", "é", "new", "york", "x", "ab", "日本", "mean"]
+    rows = []
+    for i in range(300):
+        words = [rng.choice(names) + rng.choice(["", "", "", ".", ",", "\n", "\x0b"]) for _ in range(rng.randint(0, 40))]
+        rows.append((rng.choice([" ", "  ", "\t"]).join(words), rng.choice(["en", None, "fr"])))
+    rows += [("new york city of lights", "en")] * 40 + [("a a a a a a", "de")] * 30 + [(None, "en"), ("", "xx"), (" \t. ", None), ("in \x85 line", None)]
+    return rows
+
+
+def test_collocations_equal_brute_force(spark):
+    rows = phrase_rows()
+    docs = spark.createDataFrame([(t, g, "p", 1) for t, g in rows], "text string, lang string, phrase string, k int").repartition(5)
+    for top in (2000, 7):
+        got = sorted(tuple(r) for r in collocations.collocations(docs, 12, 80, top).collect())
+        assert got == brute_phrases(rows, 12, 80, top) and len(got) > 20
+    assert collocations.collocations(docs.limit(0)).count() == 0
+
+
+def test_no_frequent_phrase_is_lost(spark):
+    """Also by summaries that must take counts off."""
+    rows = phrase_rows()
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    rng = np.random.default_rng(2)
+    keys = rng.zipf(1.3, 60_000) % 5000
+    summary = collocations.Summary(len(keys) // 30)
+    for part in np.array_split(keys, 300):
+        k, n = np.unique(part, return_counts=True)
+        summary._waiting = 1 << 20  # settle at once
+        summary.merge(k, n)
+    true = {int(k) for k, n in zip(*np.unique(keys, return_counts=True)) if n >= 30}
+    assert 0 < summary.taken < 30 and true <= set(summary.survivors(30).tolist()) and len(summary.keys) <= summary.capacity
+    got = {(r.lang, r.phrase): r.f for r in collocations.phrase_counts(docs, 12).where("k > 0").collect()}
+    want = Counter()
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            want.update((lang or "und", " ".join(words[i:i + k])) for k in range(1, 5) for i in range(len(words) - k + 1))
+    assert got == {p: n for p, n in want.items() if n >= 12}
+
+
+def test_packed_round_trip():
+    for values in (np.zeros(0, np.int64), np.array([0, 1, 255, 256, (1 << 32) - 1])):
+        assert collocations.unpacked(collocations.packed(values), len(values)).tolist() == values.tolist()
