@@ -32,7 +32,7 @@ LONGEST = 4
 COVERED = 80  # percent of a phrase's occurrences inside one longer phrase
 TOP = 2000
 # a task's words are counted in portions of about this many
-UNIT_WORDS = 1 << 21
+UNIT_WORDS = 1 << 20
 # the bit map that goes to all tasks has 32 bits for a survivor, but never more than this
 MAP_BITS = 28
 KEY_BITS = 32
