@@ -25,11 +25,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sensorcast.llm.common import drop_stored, stored
 
-MEMORY_BYTES = 128 << 20
+MEMORY_BYTES = 96 << 20
 BATCH_BYTES = 4 << 20
 NODE_BYTES = 400
 # A key is merged in groups first if it has more representatives than this and
@@ -150,12 +149,10 @@ class Trie:
             yield key, text, below
 
 
-# --- rows of the first pass: every input row, with its text if it is the first of its task
-ROWS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("rep", pa.int64()), ("sha256", pa.string()),
+# --- rows of the first pass: one for every input row, and one with the text for each text of a task (then ``sha256`` is null)
+ROWS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("rep", pa.int64()), ("sha256", pa.string()), ("n", pa.int64()),
                   ("length", pa.int64()), ("hash", pa.int64()), ("text", pa.binary())])
-ROWS_SPARK = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("rep", T.LongType()),
-                           T.StructField("sha256", T.StringType()), T.StructField("length", T.LongType()),
-                           T.StructField("hash", T.LongType()), T.StructField("text", T.BinaryType())])
+ROWS_DDL = "doc_id long, row long, rep long, sha256 string, n long, length long, hash long, text binary"
 
 
 def _cut(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -163,51 +160,69 @@ def _cut(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
-def _local(memory_bytes: int):
+def _hash(text: bytes) -> int:
+    return int.from_bytes(hashlib.sha256(text).digest()[:8], "little", signed=True)
+
+
+def _local(smallest: bool, memory_bytes: int):
     """Number the rows of a task and find its copies: ``rep`` is the row that
-    first had the text.  A full trie is dropped and begun anew, which only
+    first had the text.  A full trie is given out and begun anew, which only
     lets more than one row of a text go on."""
+    none = (1 << 63) - 1 if smallest else _NO_ID
+
     def run(batches):
         task = TaskContext.get().partitionId() << 33
-        trie, n = Trie(), 0
-        for batch in batches:
-            texts = pc.ascii_lower(batch.column("text").fill_null("")).cast(pa.binary() if pa.types.is_string(batch.column("text").type) else pa.large_binary())
-            out, size = [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts.to_pylist()):
-                sha = hashlib.sha256(text)
-                row, n = task + n, n + 1
-                rep = trie.add(text, (row, row), 1, []).best[0]
-                out.append((doc_id, row, rep, sha.hexdigest(), len(text),
-                            int.from_bytes(sha.digest()[:8], "little", signed=True), text if rep == row else None))
-                size += len(text) * (rep == row) + 200
-                if size > BATCH_BYTES:
-                    yield _cut(out, ROWS)
-                    out, size = [], 0
-                if trie.size > memory_bytes:
-                    trie = Trie()
-            yield _cut(out, ROWS)
+        trie, n, out, size = Trie(smallest), 0, [], 0
+        for batch in _ended(batches):
+            if batch is not None:
+                text_col = batch.column("text").fill_null("")
+                texts = pc.ascii_lower(text_col).cast(pa.binary() if pa.types.is_string(text_col.type) else pa.large_binary()).to_pylist()
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
+                    row, n = task + n, n + 1
+                    node = trie.add(text, (none if doc_id is None else doc_id, row), 1, [])
+                    if not node.members:
+                        node.members.append(row)
+                    out.append((doc_id, row, node.members[0], hashlib.sha256(text).hexdigest(), None, None, None, None))
+                yield _cut(out, ROWS)
+                out = []
+            if batch is None or trie.size > memory_bytes:
+                for text, node in trie.terminals():
+                    doc_id, row = node.best
+                    out.append((None if doc_id == none else doc_id, row, node.members[0], None, node.count, len(text), _hash(text), text))
+                    size += len(text) + 200
+                    if size > BATCH_BYTES:
+                        yield _cut(out, ROWS)
+                        out, size = [], 0
+                yield _cut(out, ROWS)
+                trie, out, size = Trie(smallest), [], 0
     return run
 
 
+def _ended(batches):
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
 # --- rows of the tries: representatives go in; texts come out with their owner, or are handed on
 REPS = pa.schema([("subtree", pa.int64()), ("length", pa.int64()), ("hash", pa.int64()), ("text", pa.binary()), ("id", pa.int64()),
                   ("row", pa.int64()), ("n", pa.int64()), ("members", pa.list_(pa.int64()))])
-REPS_SPARK = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "text" else T.ArrayType(T.LongType())
-                                         if f.name == "members" else T.LongType()) for f in REPS])
+REPS_DDL = "subtree long, length long, hash long, text binary, id long, row long, n long, members array<long>"
 
 
 def _owners(smallest: bool, memory_bytes: int, with_text: bool):
     """Insert the rows of a task; rows with a null ``subtree`` are done, the others go on."""
+    none = (1 << 63) - 1 if smallest else _NO_ID
+
     def run(batches):
         trie, out, size = Trie(smallest), [], 0
 
         def entry(text, key, best, count, members, full):
-            return (key, len(text), int.from_bytes(hashlib.sha256(text).digest()[:8], "little", signed=True),
-                    text if full else None, None if best[0] == _NO_ID else best[0], best[1], count, members)
+            return (key, len(text), _hash(text), text if full else None, None if best[0] == none else best[0], best[1], count, members)
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("text", "id", "row", "n", "members")]
             for text, doc_id, row, n, members in zip(*cols):
-                best = (_NO_ID if doc_id is None else doc_id, row)
+                best = (none if doc_id is None else doc_id, row)
                 node = trie.add(text, best, n, members)
                 if isinstance(node, Spilled):
                     out.append(entry(text, node.key, best, n, members, True))
@@ -241,7 +256,7 @@ def _merged(reps: DataFrame, by: list, smallest: bool, memory_bytes: int, with_t
     done, paths = None, []
     for _ in range(MAX_ROUNDS):
         out, path = stored(reps.select(*REPS.names, *by).repartition(*by).select(*REPS.names)
-                           .mapInArrow(_owners(smallest, memory_bytes, with_text), REPS_SPARK), "trie-owners")
+                           .mapInArrow(_owners(smallest, memory_bytes, with_text), REPS_DDL), "trie-owners")
         paths.append(path)
         part = out.where("subtree is null")
         done = part if done is None else done.unionByName(part)
@@ -264,22 +279,16 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", memory_bytes: int
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is 'smallest' or 'largest'")
     smallest, spark = keep == "smallest", docs.sparkSession
-    rows, rows_path = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                             .mapInArrow(_local(memory_bytes), ROWS_SPARK), "trie-rows")
-    # owner of the rows that one representative stands for; a null id comes last in either order
-    ranked = F.struct(F.col("doc_id").isNull().alias("none"), (F.col("doc_id") if smallest else F.bitwise_not("doc_id")).alias("o"),
-                      "row", "doc_id")
-    local = rows.groupBy("rep").agg(F.min(ranked).alias("b"), F.count(F.lit(1)).alias("n"))
-    firsts = rows.where("text is not null").select("rep", "length", "hash", "text")
-    reps = (firsts.join(local, "rep").select(
-        F.lit(None).cast("long").alias("subtree"), "length", "hash", "text", F.col("b.doc_id").alias("id"), F.col("b.row").alias("row"), "n",
-        F.array("rep").alias("members")))
-    if smallest:  # the trie orders a null id below all others
-        reps = reps.withColumn("id", F.coalesce("id", F.lit((1 << 63) - 1)))
+    made, made_path = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+                             .mapInArrow(_local(smallest, memory_bytes), ROWS_DDL), "trie-rows")
+    rows = made.where("sha256 is not null")
+    firsts = made.where("sha256 is null")
+    reps = firsts.select(F.lit(None).cast("long").alias("subtree"), "length", "hash", "text", F.col("doc_id").alias("id"), "row", "n",
+                         F.array("rep").alias("members"))
     total = firsts.count()
     hot = firsts.groupBy("length", "hash").agg(F.count(F.lit(1)).alias("reps")).where(F.col("reps") > max(HOT_ROWS, total // HOT_SHARE))
     hot, hot_path = stored(hot, "trie-hot")
-    paths = [rows_path, hot_path]
+    paths = [made_path, hot_path]
     if not hot.isEmpty():
         marked = reps.join(F.broadcast(hot), ["length", "hash"], "left")
         groups = F.ceil(F.sqrt("reps"))
@@ -289,10 +298,9 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", memory_bytes: int
         reps = marked.where("reps is null").select(*REPS.names).unionByName(first)
     owners, more = _merged(reps, ["length", "hash"], smallest, memory_bytes, False)
     paths += more
-    top = F.lit((1 << 63) - 1)
-    classes = owners.select(F.explode("members").alias("rep"), F.when(F.col("id") != top, F.col("id")).alias("keep_id"),
-                            F.col("row").alias("keep_row"), F.col("n").alias("group_size"))
-    done, _ = stored(rows.drop("text").join(classes, "rep").select(
+    classes = owners.select(F.explode("members").alias("rep"), F.col("id").alias("keep_id"), F.col("row").alias("keep_row"),
+                            F.col("n").alias("group_size"))
+    done, _ = stored(rows.select("doc_id", "row", "rep", "sha256").join(classes, "rep").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha256").alias("text_sha256")), "trie-done")
     for path in paths:
         drop_stored(spark, path)
