@@ -35,7 +35,8 @@ TOP = 2000
 UNIT_WORDS = 1 << 20
 # the bit map that goes to all tasks has 32 bits for a survivor, but never more than this
 MAP_BITS = 28
-KEY_BITS = 32
+# of a fingerprint inside its partition; phrases that share them are counted as one in the first pass
+KEY_BITS = 26
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"."
 _TO_BREAK = bytes.maketrans(b",;:!?\n\x0b\x0c\r", _BREAK * 9)
@@ -117,27 +118,30 @@ SUMMARY_DDL = "part int, mass long, n int, keys binary, counts binary"
 
 def _summaries(part_bits: int):
     """One summary a portion and partition: sorted keys (as steps) and counts."""
-    def of(unit: Unit) -> np.ndarray:
-        every = []
+    def counted(unit: Unit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys and their counts, for one language and length after the other."""
         for _, _, left, words in unit.languages():
             grams = words
             for k in range(1, LONGEST + 1):
                 if k > 1:
                     grams = longer(grams[:-1], words[k - 1:])
-                every.append(grams[left[:len(grams)] >= k] >> np.uint64(64 - KEY_BITS - part_bits))
-        return np.concatenate(every)
+                keys = grams[left[:len(grams)] >= k]
+                keys >>= np.uint64(64 - KEY_BITS - part_bits)
+                keys.sort()
+                at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+                yield keys[at].astype(np.int64), np.diff(at, append=len(keys)).astype(np.int32)
 
     def run(batches):
         for unit in units(batches):
-            keys = of(unit)
-            keys.sort()
-            at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-            counts, keys = np.diff(at, append=len(keys)), keys[at]
-            part = (keys >> np.uint64(KEY_BITS)).astype(np.int32)
-            low = (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
-            edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else []
-            rows = [(int(part[a]), int(counts[a:b].sum()), int(b - a), packed(np.diff(low[a:b], prepend=0)), packed(counts[a:b]))
-                    for a, b in zip(edges[:-1], edges[1:])]
+            tables = list(counted(unit))
+            edges = [np.searchsorted(keys, np.arange((1 << part_bits) + 1) << KEY_BITS) for keys, _ in tables]
+            rows = []
+            for part in range(1 << part_bits):
+                low = np.concatenate([keys[e[part]:e[part + 1]] for (keys, _), e in zip(tables, edges)]) & ((1 << KEY_BITS) - 1)
+                if len(low):
+                    counts = np.concatenate([n[e[part]:e[part + 1]] for (_, n), e in zip(tables, edges)])
+                    order = np.argsort(low, kind="stable")  # a key may come once for each length
+                    rows.append((part, int(counts.sum()), len(low), packed(np.diff(low[order], prepend=0)), packed(counts[order])))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SUMMARY)], schema=SUMMARY)
     return run
@@ -226,7 +230,7 @@ def frequent_map(docs: DataFrame, threshold: int, part_bits: int) -> tuple[np.nd
         .select("part", "all_mass", "n", "keys", "counts").mapInArrow(_merge_summaries(threshold), SURVIVORS_DDL), "phrase-survivors")
     drop_stored(spark, path)
     n = merged.agg(F.sum("n").alias("n")).first()["n"] or 0
-    bits = min(max((32 * n).bit_length(), part_bits + 3), MAP_BITS)
+    bits = min(max((32 * n).bit_length(), part_bits + 3), MAP_BITS, part_bits + KEY_BITS)
     out = np.zeros(1 << (bits - 3), np.uint8)
     width = 1 << (bits - 3 - part_bits)
     for row in merged.mapInArrow(_map_slices(part_bits, bits), "part int, bits binary").toLocalIterator():
