@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from sensorcast.functions.time import calendar_features, cyclic_features, step_time
 from sensorcast.models.gram import linear_fit
 from sensorcast.operators import windows as wn
+from sensorcast.operators.position import DEFAULT_BLOCK
 from sensorcast.operators.scale import attach_one_row
 from sensorcast.session import scratch_path, write_and_read
 
@@ -163,17 +164,20 @@ def forest_pairs(df: DataFrame, keys: list[str] = KEYS, split_col: str | None =
     return VectorAssembler(inputCols=FOREST_FEATURES, outputCol="features").transform(pairs)
 
 
-def forest_fit(pairs: DataFrame, num_trees: int = 100, max_depth: int = 30, seed: int = 42) -> dict:
+def forest_fit(pairs: DataFrame, num_trees: int = 100, max_depth: int = 30, seed: int = 42, min_leaf: int = 1) -> dict:
     """One forest per label (MLlib forests are single-output; the split choice
     therefore differs from a joint multi-output forest).  Rows are repartitioned
-    and sorted by key first, so the fit does not depend on input partitioning."""
+    by station and position block and sorted first, so the fit does not depend
+    on input partitioning and a long station is spread over tasks.  A forest
+    has at most ``2 * rows / min_leaf`` nodes a tree."""
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = pairs.repartition(parts, "series_id").sortWithinPartitions("series_id", "pos")
+    data = (pairs.repartition(parts, "series_id", F.floor(F.col("pos") / DEFAULT_BLOCK))
+            .sortWithinPartitions("series_id", "pos"))
     # the three fits read one written copy of the pairs, not the pipeline three times
     data = write_and_read(data, "forest-pairs")
     return {v: RandomForestRegressor(featuresCol="features", labelCol=f"y_{v}", predictionCol=f"{v}_pred",
                                      numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="all",
-                                     maxMemoryInMB=1024, seed=seed).fit(data) for v in VALUES}
+                                     minInstancesPerNode=min_leaf, maxMemoryInMB=1024, seed=seed).fit(data) for v in VALUES}
 
 
 def forest_predict(models: dict, pairs: DataFrame) -> DataFrame:
@@ -183,24 +187,45 @@ def forest_predict(models: dict, pairs: DataFrame) -> DataFrame:
     return out
 
 
-def forest_nodes(model) -> dict[str, np.ndarray]:
-    """A forest's nodes as flat arrays, read from its saved form (leaves have feature -1)."""
+NODE_COLUMNS = ["tree", "id", "prediction", "left", "right", "feature", "threshold"]
+
+
+def forest_table(models: dict) -> DataFrame:
+    """The nodes of the forests as a table ``(variable, tree, id, prediction, left, right, feature, threshold)``,
+    read from their saved form; a leaf has no children (-1)."""
     spark = SparkSession.active()
-    path = scratch_path(spark, "forest")
-    save_model(model, path)
-    n = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold")).toPandas()
-    n = n.sort_values(["treeID", "id"])
-    trees = n["treeID"].to_numpy()
-    first = np.searchsorted(trees, np.arange(trees.max() + 1))
-    base = first[trees]
-    leaf = n["leftChild"].to_numpy() < 0
-    return {"root": first, "prediction": n["prediction"].to_numpy(),
-            "feature": np.where(leaf, -1, n["feature"].to_numpy()).astype(np.int32),
-            "threshold": n["threshold"].fillna(0.0).to_numpy(dtype=float),
-            "left": n["leftChild"].to_numpy() + base, "right": n["rightChild"].to_numpy() + base}
+    out = None
+    for v, model in models.items():
+        path = scratch_path(spark, "forest")
+        save_model(model, path)
+        part = spark.read.parquet(f"{path}/data").select(
+            F.lit(v).alias("variable"), F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction",
+            F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+            F.col("nodeData.split.featureIndex").alias("feature"),
+            F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def forest_arrays(nodes: DataFrame) -> dict[str, dict[str, np.ndarray]]:
+    """Per variable the nodes as flat arrays (leaves have feature -1)."""
+    out = {}
+    for v, n in nodes.toPandas().groupby("variable"):
+        n = n.sort_values(["tree", "id"])
+        trees = n["tree"].to_numpy()
+        first = np.searchsorted(trees, np.arange(trees.max() + 1))
+        base = first[trees]
+        leaf = n["left"].to_numpy() < 0
+        out[v] = {"root": first, "prediction": n["prediction"].to_numpy(),
+                  "feature": np.where(leaf, -1, n["feature"].to_numpy()).astype(np.int32),
+                  "threshold": n["threshold"].fillna(0.0).to_numpy(dtype=float),
+                  "left": n["left"].to_numpy() + base, "right": n["right"].to_numpy() + base}
+    return out
+
+
+def forest_nodes(model) -> dict[str, np.ndarray]:
+    """The nodes of one fitted forest as flat arrays."""
+    return forest_arrays(forest_table({"v": model}))["v"]
 
 
 def forest_values(nodes: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -222,16 +247,18 @@ def forest_values(nodes: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return out / len(nodes["root"])
 
 
-def rollout_forest(models: dict, start: DataFrame, horizon: int = 72, keys: list[str] = KEYS,
+def rollout_forest(models: dict | DataFrame, start: DataFrame, horizon: int = 72, keys: list[str] = KEYS,
                    time_col: str = "utc") -> DataFrame:
     """Hour-by-hour roll-out of the forests for all series, in one pass.
 
     Each task takes batches of start rows (one row per series) through all
-    ``horizon`` steps.  The forests are sent to each executor once, as arrays
+    ``horizon`` steps.  ``models`` are fitted forests or their
+    :func:`forest_table`.  The forests are sent to each executor once, as arrays
     of about 40 bytes a node; MLlib sends them for every ``transform``.  A
     series whose start row has a null gets null values.
     """
-    shared = start.sparkSession.sparkContext.broadcast({v: forest_nodes(models[v]) for v in VALUES})
+    arrays = forest_arrays(models if isinstance(models, DataFrame) else forest_table({v: models[v] for v in VALUES}))
+    shared = start.sparkSession.sparkContext.broadcast(arrays)
     state = start.select(*keys, F.col(time_col).cast("timestamp_ntz").alias(time_col), *[F.col(v).cast("double") for v in VALUES])
     schema = T.StructType([*[state.schema[k] for k in keys], T.StructField("step", T.IntegerType()),
                            state.schema[time_col], *[T.StructField(v, T.DoubleType()) for v in VALUES]])

@@ -176,12 +176,15 @@ def climatology_fit(spark, sf_dir):
     return r6(cl.climatology_fit(hourly_table(spark, sf_dir)))
 
 
-def _clim_forecast_sql(grid):
+def _clim_forecast_sql(grid, bare=False):
     joins = []
     for cols, lv in LEVEL_SQL:
         on = " AND ".join(f"fg.{c} = l{lv}.{c}" for c in cols.split(", "))
         joins.append(f"LEFT JOIN (SELECT * FROM fit WHERE level = {lv}) l{lv} ON fg.series_id = l{lv}.series_id AND {on}")
     vals = ", ".join(f"round(coalesce(l0.{v}, l1.{v}, l2.{v}), 6) AS {v}" for v in V)
+    if bare:  # one SELECT without rounding
+        vals = ", ".join(f"coalesce(l0.{v}, l1.{v}, l2.{v}) AS {v}" for v in V)
+        return f"SELECT fg.series_id, fg.step, fg.utc, {vals} FROM (SELECT series_id, step, utc, {CAL} FROM {grid}) fg {' '.join(joins)}"
     return f"""fg AS (SELECT series_id, step, utc, {CAL} FROM {grid})
 SELECT fg.series_id, fg.step, fg.utc, {vals} FROM fg {' '.join(joins)}"""
 

@@ -39,6 +39,22 @@ def readings(spark: SparkSession, sf_dir: str, series: str = "mod3") -> DataFram
         *[F.when(F.col("event_type") == t, F.col("value")).alias(v) for t, v in EVENT_VARIABLES.items()])
 
 
+def events_as_readings(ev: DataFrame) -> DataFrame:
+    """Rows of ``events`` in the schema of :func:`readings`."""
+    return ev.select(
+        F.col("event_id").alias("ID"), _series("mod3").alias("series_id"), F.col("ts").alias("utc"),
+        *[F.when(F.col("event_type") == t, F.col("value")).alias(v) for t, v in EVENT_VARIABLES.items()])
+
+
+def write_day_files(spark: SparkSession, sf_dir: str, path: str, stored: bool) -> str:
+    """Append the ``events`` before (``stored``) or from :data:`STORED_BEFORE` on, one folder a day."""
+    ev = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz")
+    (ev.where(early if stored else ~early).withColumn("day", F.to_date("ts")).repartition("day")
+     .write.mode("append").partitionBy("day").parquet(path))
+    return path
+
+
 def weather_measurement(spark: SparkSession, sf_dir: str, series: str = "mod3") -> DataFrame:
     """Raw readings in the sensor database's own schema and names."""
     r = readings(spark, sf_dir, series)
