@@ -6,13 +6,15 @@ hours of day, months) leave it.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorcast.operators.position import DEFAULT_BLOCK, carry_across_blocks
-from sensorcast.operators.stats import long_format
+from sensorcast.operators.quantiles import exact_quantiles
+from sensorcast.operators.stats import join_null_safe, long_format
 
 VALUES = ["ts", "hr", "qfe"]
 
@@ -40,16 +42,18 @@ def diurnal_by_month(df: DataFrame, time_col: str = "utc", values: list[str] = V
     t = F.col(time_col)
     base = df.select(*keys, F.month(t).alias("month"), F.hour(t).alias("hour"), *values)
     long = long_format(base, values, [*keys, "month", "hour"])
-    med = F.percentile("value", 0.5) if exact else F.percentile_approx("value", 0.5, 10000).cast("double")
-    return (long.groupBy(*keys, "month", "hour", "variable")
-                .agg(F.count("value").alias("n"), F.avg("value").alias("mean"),
-                     F.stddev_samp("value").alias("std"), med.alias("median")))
+    by = [*keys, "month", "hour", "variable"]
+    aggs = [F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")]
+    if not exact:
+        return long.groupBy(*by).agg(*aggs, F.percentile_approx("value", 0.5, 10000).cast("double").alias("median"))
+    medians = exact_quantiles(long, by, [0.5]).select(*by, F.col("q")[0].alias("median"))
+    return join_null_safe(long.groupBy(*by).agg(*aggs), medians, by)
 
 
 def value_bounds(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """Min and max of columns: one aggregate row, used to fix bin edges."""
+    """Min and max of columns: one aggregate row, used to fix bin edges.  A column without values gets (0, 1)."""
     row = df.agg(*[F.min(c).alias(f"{c}_lo") for c in cols], *[F.max(c).alias(f"{c}_hi") for c in cols]).first()
-    return {c: (float(row[f"{c}_lo"]), float(row[f"{c}_hi"])) for c in cols}
+    return {c: (0.0, 1.0) if row[f"{c}_lo"] is None else (float(row[f"{c}_lo"]), float(row[f"{c}_hi"])) for c in cols}
 
 
 def _bins(x: str, y: str, bins: int, bounds: dict) -> list:
@@ -88,6 +92,46 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = 10, bounds: dict | Non
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
+def smooth_density(df: DataFrame, x: str, y: str, bandwidth: tuple[float, float] | None = None, points: int = 25, bins: int = 100,
+                   bounds: dict | None = None) -> DataFrame:
+    """Two-dimensional Gaussian kernel density on a grid of ``points`` x ``points`` (V5).
+
+    Rows are counted in ``bins`` x ``bins`` cells first (a combinable
+    aggregate); the kernel is a product, so the cells are convolved along x and
+    then along y: ``bins^2 * points`` small rows, whatever the number of
+    readings.  The bandwidth (standard deviation per axis) is the normal
+    reference ``1.06 * std * n^(-1/5)`` unless given.  Output: ``(x_point,
+    y_point, density)``; rows with a null do not count, and without rows or
+    spread the result is empty.
+    """
+    rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    s = rows.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}_{k}") for c in "xy" for k, f in
+                                                 (("lo", F.min), ("hi", F.max), ("sd", F.stddev_samp))]).first()  # one row
+    edges = {c: (bounds or {}).get(name, (s[f"{c}_lo"], s[f"{c}_hi"])) for c, name in (("x", x), ("y", y))}
+    h = dict(zip("xy", bandwidth)) if bandwidth else {c: 1.06 * (s[f"{c}_sd"] or 0.0) * max(s["n"], 1) ** -0.2 for c in "xy"}
+    empty = not s["n"] or any(not h[c] or edges[c][0] == edges[c][1] for c in "xy")
+    if empty:
+        return df.sparkSession.createDataFrame([], "x_point double, y_point double, density double")
+
+    def cell(c):
+        lo, hi = edges[c]
+        return F.least(F.greatest(F.floor((F.col(c) - lo) * bins / (hi - lo)), F.lit(0)), F.lit(bins - 1))
+
+    def weight(c, point):
+        lo, hi = edges[c]
+        centre = lo + (F.col(f"{c}_cell") + 0.5) * ((hi - lo) / bins)
+        return F.exp(-0.5 * F.pow((point - centre) / h[c], 2)) / (h[c] * math.sqrt(2 * math.pi))
+
+    def grid(c):
+        lo, hi = edges[c]
+        return F.explode(F.array(*[F.lit(lo + i * (hi - lo) / (points - 1)) for i in range(points)]))
+    cells = rows.groupBy(cell("x").alias("x_cell"), cell("y").alias("y_cell")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    along = (cells.withColumn("x_point", grid("x")).groupBy("x_point", "y_cell")
+             .agg(F.sum(F.col("n") * weight("x", F.col("x_point"))).alias("n")))
+    return (along.withColumn("y_point", grid("y")).groupBy("x_point", "y_point")
+            .agg((F.sum(F.col("n") * weight("y", F.col("y_point"))) / s["n"]).alias("density")))
+
+
 def correlations(df: DataFrame, values: list[str] = VALUES, keys: list = ()) -> DataFrame:
     """Pearson correlation of every pair of variables (V6); a combinable aggregate."""
     pairs = list(combinations(values, 2))

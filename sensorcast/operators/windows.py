@@ -10,11 +10,14 @@ makes it so; ``with_position`` builds it otherwise).  Extra partition columns
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorcast.functions.time import epoch_seconds
 from sensorcast.operators.position import (
-    DEFAULT_BLOCK, block_window, blocked, home_rows, prefix_across_blocks, with_position,
+    DEFAULT_BLOCK, DEFAULT_CHUNK_SECONDS, block_window, blocked, home_rows, prefix_across_blocks, with_position,
 )
 
 KEYS = ["series_id"]
@@ -144,9 +147,48 @@ def fifo_advance(window: Column, newest: Column, length: int) -> Column:
     return F.slice(F.concat(window, F.array(newest)), 2, length)
 
 
-def shuffled_sample(df: DataFrame, key_cols: list[str], seed: int = 42) -> DataFrame:
-    """Deterministic shuffle order for exported mini-batches."""
-    return df.withColumn("_shuffle", F.xxhash64(*key_cols, F.lit(seed))).orderBy("_shuffle").drop("_shuffle")
+ROUNDS = 4
+WALKS = 16
+
+
+def permuted(index: Column, n: int, seed: int = 42) -> Column:
+    """A keyed permutation of 0..n-1, computed for each index alone.
+
+    The index is a pair (left, right) of a grid of just over n places; each
+    round adds a hash of one half to the other, which can be undone, so no two
+    indexes meet.  The few places beyond n are walked on until they fall
+    inside: there are fewer than ``sqrt(n)`` of them, so at most 16 steps are
+    needed up to 256 rows, and beyond that more are as good as impossible.
+    """
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    b = max(1, -(-n // a))
+
+    def once(x):
+        left, right = F.floor(x / b).cast("long"), (x % b).cast("long")
+        for r in range(ROUNDS):
+            left = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(seed), F.lit(2 * r)), F.lit(a)), F.lit(a))
+            right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(seed), F.lit(2 * r + 1)), F.lit(b)), F.lit(b))
+        return left * b + right
+    # each step is a lambda of its own, so the halves are not written out many times over
+    walk = lambda x: F.element_at(F.transform(F.array(x), once), 1)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), walk(index.cast("long")), lambda x, i: F.when(x < n, x).otherwise(walk(x)))
+
+
+def shuffled_batches(df: DataFrame, keys: list[str] = KEYS, time_col: str = "utc", size: int = 32, seed: int = 42) -> DataFrame:
+    """Rows with the ``batch`` and ``place`` of a seeded shuffle into mini-batches.
+
+    Every row gets a dense index over all series (two levels, no global sort),
+    and a keyed permutation of the index says where it goes; all batches but
+    the last are full.  ``keys`` and time must identify a row for the shuffle
+    to be the same every time.
+    """
+    one = df.withColumn("_all", F.lit(0))
+    chunk = [*[F.col(k) for k in keys], F.floor(epoch_seconds(time_col) / DEFAULT_CHUNK_SECONDS)]
+    indexed = with_position(one, ["_all"], keys[0], "_index", tiebreak=[*keys[1:], time_col], chunk=chunk).drop("_all")
+    n = df.count()
+    at = permuted(F.col("_index"), n, seed)
+    return (indexed.withColumn("_at", at).withColumns({"batch": F.floor(F.col("_at") / size).cast("long"), "place": (F.col("_at") % size).cast("int")})
+            .drop("_index", "_at"))
 
 
 def tail_slice(df: DataFrame, keys: list[str] = KEYS, last: int = 24, skip_last: int = 0,
@@ -168,5 +210,5 @@ def tail_slice(df: DataFrame, keys: list[str] = KEYS, last: int = 24, skip_last:
 __all__ = [
     "lag_supervised", "lag_matrix", "difference", "undifference", "sliding_windows",
     "seq2seq_windows", "flatten_window", "unflatten_window", "fifo_advance",
-    "shuffled_sample", "tail_slice",
+    "shuffled_batches", "permuted", "tail_slice",
 ]

@@ -157,6 +157,19 @@ def density_2d(spark, sf_dir):
     return r6(ex.density_2d(td.lineitem_readings(spark, sf_dir), "ts", "hr", bins=10))
 
 
+@register("smooth_density", """WITH e AS (SELECT min(l_quantity) AS xl, max(l_quantity) AS xh, min(l_extendedprice) AS yl, max(l_extendedprice) AS yh,
+  1.06 * stddev_samp(l_quantity) * pow(count(*), -0.2) AS hx, 1.06 * stddev_samp(l_extendedprice) * pow(count(*), -0.2) AS hy, count(*) AS n FROM lineitem),
+c AS (SELECT least(floor((l_quantity - xl) * 100 / (xh - xl)), 99) AS i, least(floor((l_extendedprice - yl) * 100 / (yh - yl)), 99) AS j, count(*) AS k
+      FROM lineitem, e GROUP BY ALL),
+g AS (SELECT xl + a * (xh - xl) / 24 AS x_point, yl + b * (yh - yl) / 24 AS y_point, e.* FROM e, range(25) t(a), range(25) u(b))
+SELECT round(x_point, 6) AS x_point, round(y_point, 6) AS y_point, round(1e6 * sum(k * exp(-0.5 * pow((x_point - xl - (i + 0.5) * (xh - xl) / 100) / hx, 2))
+  * exp(-0.5 * pow((y_point - yl - (j + 0.5) * (yh - yl) / 100) / hy, 2))) / any_value(n * hx * hy * 2 * pi()), 6) AS density_per_million
+FROM g, c GROUP BY x_point, y_point""")
+def smooth_density(spark, sf_dir):
+    d = ex.smooth_density(td.lineitem_readings(spark, sf_dir), "ts", "hr")
+    return r6(d.select("x_point", "y_point", (F.col("density") * 1e6).alias("density_per_million")))
+
+
 @register("correlations", """SELECT round(corr(l_quantity, l_extendedprice), 6) AS corr_ts_hr,
   round(corr(l_quantity, l_discount), 6) AS corr_ts_qfe, round(corr(l_extendedprice, l_discount), 6) AS corr_hr_qfe
 FROM lineitem""")

@@ -289,7 +289,7 @@ def seq2seq_windows_onestep(spark, sf_dir):
 @register("shuffled_sample")
 def shuffled_sample(spark, sf_dir):
     w = wn.sliding_windows(hourly_table(spark, sf_dir), features=V, targets=V, length=24)
-    return wn.shuffled_sample(w.select("series_id", "utc", "y_ts"), ["series_id", "utc"], seed=42)
+    return wn.shuffled_batches(w.select("series_id", "utc", "y_ts"), seed=42)
 
 
 # ---------------------------------------------------------------- splits
