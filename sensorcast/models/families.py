@@ -83,7 +83,7 @@ def _statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     return stats.withColumns({f"{c}_std": F.when(F.col(f"{c}_std") > 0, F.col(f"{c}_std")).otherwise(F.lit(1.0)) for c in columns})
 
 
-def _numbers(model: Model, columns: list[str]) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+def global_numbers(model: Model, columns: list[str]) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
     """Coefficients, means and deviations of a global model: one row each, whatever the data."""
     row, stats = model.tables["coefficients"].first(), model.tables["statistics"].first()
     coef = None if row is None or row["coef"] is None else np.array(row["coef"])
@@ -130,6 +130,19 @@ def _cyclic(hours: np.ndarray) -> np.ndarray:
     return np.column_stack([np.sin(s * 2 * np.pi / 86400), np.sin(s * 2 * np.pi / (365.2425 * 86400))])
 
 
+def window_steps(x: np.ndarray, hours: np.ndarray, coef: np.ndarray, mean: np.ndarray, std: np.ndarray, horizon: int) -> np.ndarray:
+    """Roll windows of values (n, WIDTH, 3) that end at ``hours`` out, hour by hour: (n, horizon, 3)."""
+    n, m = len(x), len(VALUES)
+    cal = np.stack([_calendar(hours - WIDTH + 1 + i) for i in range(WIDTH)], axis=1)
+    window = (np.concatenate([x, cal], axis=2) - mean) / std
+    out = np.empty((n, horizon, m))
+    for i in range(horizon):
+        out[:, i] = np.hstack([window.reshape(n, -1), np.ones((n, 1))]) @ coef
+        new = np.hstack([out[:, i], (_calendar(hours + i + 1) - mean[m:]) / std[m:]])
+        window = np.concatenate([window[:, 1:], new[:, None]], axis=1)  # first in, first out
+    return out * std[:m] + mean[:m]
+
+
 class Window:
     """The next hour from the last 24 hours of values and calendar, normalised
     with the statistics of the whole table; rolled out hour by hour."""
@@ -145,20 +158,12 @@ class Window:
         return Model("window", {"coefficients": ml.window_regression_fit(flat, WIDTH), "statistics": stats})
 
     def forecast(self, model: Model, recent: DataFrame, horizon: int = 72, first_step: int = 1) -> DataFrame:
-        coef, mean, std = _numbers(model, self.columns)
+        coef, mean, std = global_numbers(model, self.columns)
         if coef is None:
             return _rolled(recent.limit(0), None, horizon, first_step)
 
         def roll(x, hours):
-            n, m = len(x), len(VALUES)
-            cal = np.stack([_calendar(hours - WIDTH + 1 + i) for i in range(WIDTH)], axis=1)
-            window = (np.concatenate([x, cal], axis=2) - mean) / std
-            out = np.empty((n, horizon, m))
-            for i in range(horizon):
-                out[:, i] = np.hstack([window.reshape(n, -1), np.ones((n, 1))]) @ coef
-                new = np.hstack([out[:, i], (_calendar(hours + i + 1) - mean[m:]) / std[m:]])
-                window = np.concatenate([window[:, 1:], new[:, None]], axis=1)  # first in, first out
-            return out * std[:m] + mean[:m]
+            return window_steps(x, hours, coef, mean, std, horizon)
         return _rolled(recent, roll, horizon, first_step)
 
 
@@ -176,7 +181,7 @@ class MultiHorizon:
         return Model("multihorizon", {"coefficients": ml.direct_multihorizon_fit(frame, WIDTH), "statistics": stats})
 
     def forecast(self, model: Model, recent: DataFrame, horizon: int = 72, first_step: int = 1) -> DataFrame:
-        coef, mean, std = _numbers(model, self.columns)
+        coef, mean, std = global_numbers(model, self.columns)
         if coef is None:
             return _rolled(recent.limit(0), None, horizon, first_step)
 
