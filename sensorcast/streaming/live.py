@@ -121,6 +121,9 @@ def window_roll(coef: np.ndarray, mean: np.ndarray, std: np.ndarray, horizon: in
     """Roll-out of the stored window regression: one set of coefficients and statistics for all stations."""
     from sensorcast.models.families import window_steps
 
+    if coef is None:
+        raise ValueError("the window regression has no coefficients: too few windows to fit it")
+
     def roll(window, hour, extra):
         known = not np.isnan(window).any()
         out = window_steps(np.nan_to_num(window)[None], np.array([hour]), coef, mean, std, horizon)[0]
