@@ -20,12 +20,14 @@ emitted.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorcast.llm.common import stored, text_slices
+from sensorcast.llm.common import drop_stored, stored, text_slices
 from sensorcast.llm.components import connected_components
 from sensorcast.llm.textvec import mix, shingle_sets
 
@@ -40,10 +42,11 @@ SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 # candidates whose estimate is this many standard errors below the threshold are dropped
 SLACK_SIGMAS = 4.25
+FLOOR_SIZES = 100
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()),
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()),
                      ("set_b", pa.int64()), ("registers", pa.binary())])
-_SKETCH_DDL = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
+_SKETCH_DDL = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, registers binary"
 
 
 def borrow_order(buckets: int = REGISTERS) -> np.ndarray:
@@ -97,7 +100,8 @@ def _sketch_batches(batches):
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             b = np.array([np.bitwise_xor.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").slice(first, last - first), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("doc_id").slice(first, last - first), batch.column("text_hash").slice(first, last - first),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(a), pa.array(b), pa.array([r.tobytes() for r in regs], pa.binary())], schema=_SKETCH)
 
 
@@ -124,21 +128,50 @@ def estimate(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.nd
     return np.clip((same - chance) / (1 - chance), 0.0, 1.0)
 
 
-def _estimate_batches(batches):
+def _estimate_batches(floors: np.ndarray):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield passing(batch)
+
+    def passing(batch):
         regs = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 for c in ("regs_a", "regs_b")]
         n = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("n_a", "n_b")]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"),
-                                          pa.array(estimate(*regs, *n))], schema=schema)
+        est = estimate(*regs, *n)
+        good = np.flatnonzero(est >= floor_of(floors, *n))
+        return pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(good)), batch.column("b").take(pa.array(good)),
+                                           pa.array(est[good])], schema=schema)
+    return run
+
 
+def estimate_floors(threshold_pct: int = THRESHOLD_PCT) -> np.ndarray:
+    """The smallest estimate that a pair at the threshold may have, by the size of the larger set.
 
-def estimate_floor(threshold_pct: int = THRESHOLD_PCT) -> float:
+    Two of ``n`` shingles that fall in one bucket leave one register, which
+    can lower the share of equal ones by ``(1 - p) / (n - 1)`` a time.  As many
+    such losses are allowed for as come with a chance of 1e-6, on top of
+    ``SLACK_SIGMAS`` standard errors.  From ``FLOOR_SIZES`` shingles on the
+    allowance stays.
+    """
     p = threshold_pct / 100.0
-    return max(0.0, p - SLACK_SIGMAS * (p * (1 - p) / REGISTERS) ** 0.5)
+    out = np.zeros(FLOOR_SIZES + 1)
+    for n in range(1, FLOOR_SIZES + 1):
+        mean, lost = n * n / (2.0 * REGISTERS), 0
+        term = total = math.exp(-mean)
+        while 1 - total > 1e-6 and lost < n:
+            lost += 1
+            term *= mean / lost
+            total += term
+        q = max(0.0, (p * n - lost) / max(n - lost, 1))
+        out[n] = max(0.0, q - SLACK_SIGMAS * (max(q * (1 - q), p * (1 - p)) / REGISTERS) ** 0.5)
+    return out
+
+
+def floor_of(floors: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    return floors[np.minimum(np.maximum(n_a, n_b), len(floors) - 1).astype(np.int64)]
 
 
 def word_shingles(text: str, width: int = SHINGLE_WORDS) -> set:
@@ -170,8 +203,9 @@ def _confirm_batches(batches):
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, set_a, set_b, registers)`` of every document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch_batches, _SKETCH_DDL)
+    """``(doc_id, text_hash, n_shingles, set_a, set_b, registers)`` of every document."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
+        .mapInArrow(_sketch_batches, _SKETCH_DDL)
 
 
 def band_rows(reps: DataFrame) -> DataFrame:
@@ -182,8 +216,8 @@ def band_rows(reps: DataFrame) -> DataFrame:
                     .alias("key")))
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """``(a, b, est)``."""
+def _estimated(pairs: DataFrame, reps: DataFrame, floors: np.ndarray) -> DataFrame:
+    """``(a, b, est)`` of the pairs that may reach the threshold."""
     side = reps.select("doc_id", "registers", "n_shingles")
     joined = (pairs
               .join(side.select(F.col("doc_id").alias("b"), F.col("registers").alias("regs_b"),
@@ -191,7 +225,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
               .join(side.select(F.col("doc_id").alias("a"), F.col("registers").alias("regs_a"),
                                 F.col("n_shingles").alias("n_a")), "a"))
     return joined.select("a", "b", "regs_a", "regs_b", "n_a", "n_b").mapInArrow(
-        _estimate_batches, "a long, b long, est double")
+        _estimate_batches(floors), "a long, b long, est double")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -203,7 +237,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         _confirm_batches, "a long, b long, inter long, total long")
 
 
-def _tile_batches(floor: float):
+def _tile_batches(floors: np.ndarray):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
 
     def run(batches):
@@ -226,8 +260,8 @@ def _tile_batches(floor: float):
                     j = j[np.argmax(bands_b[j] == bands_a[i], axis=1) == band]
                     if not len(j):
                         continue
-                    agree = (regs_b[j] == regs_a[i]).mean(axis=1)
-                    j, agree = j[agree >= floor], agree[agree >= floor]
+                    agree, floor = (regs_b[j] == regs_a[i]).mean(axis=1), floor_of(floors, n_a[i], n_b[j])
+                    j, agree, floor = (x[agree >= floor] for x in (j, agree, floor))
                     if not len(j):
                         continue
                     chance = collision_rate(np.full(len(j), n_a[i]), n_b[j])
@@ -239,7 +273,7 @@ def _tile_batches(floor: float):
     return run
 
 
-def _tile_pairs(rows: DataFrame, reps: DataFrame, floor: float) -> DataFrame:
+def _tile_pairs(rows: DataFrame, reps: DataFrame, floors: np.ndarray) -> DataFrame:
     """``(a, b, est)`` of the pairs of different components in a bucket whose
     estimate passes; bucket by bucket, tile against tile."""
     slot = F.pmod(F.xxhash64("member", "band"), F.ceil(F.col("n") / TILE_ROWS).cast("long"))
@@ -250,7 +284,7 @@ def _tile_pairs(rows: DataFrame, reps: DataFrame, floor: float) -> DataFrame:
     other = tiles.select("key", F.col("slot").alias("slot_b"), F.col("docs").alias("docs_b"))
     pairs = tiles.withColumnRenamed("docs", "docs_a").join(other, "key").where("slot <= slot_b")
     return pairs.select("band", (F.col("slot") == F.col("slot_b")).alias("same"), "docs_a", "docs_b").mapInArrow(
-        _tile_batches(floor), "a long, b long, est double")
+        _tile_batches(floors), "a long, b long, est double")
 
 
 def _joined_components(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -271,25 +305,36 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> Data
     and it is kept.  Other columns are ignored; an empty table gives an empty
     result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made, _ = stored(sketches(docs), "sketches")
-    floor = estimate_floor(threshold_pct)
+    return classified(docs, threshold_pct).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
+    """:func:`near_duplicates` with two more columns: ``text_hash`` (xxhash64 of
+    the text) and ``first``, true for the rows of one id and text of each
+    component, the smallest, and for rows that are linked with nothing."""
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    made, made_path = stored(sketches(docs), "sketches")
+    floors = estimate_floors(threshold_pct)
+    # a class is one shingle set; its number stands for it, as one id can come with several texts
     usable = made.where("n_shingles > 0 and doc_id is not null")
-    classes, _ = stored(usable.groupBy("n_shingles", "set_a", "set_b").agg(
-        F.min(F.struct("doc_id", "registers")).alias("r")).select(
-        "n_shingles", "set_a", "set_b", "r.doc_id", "r.registers"), "classes")
-    reps = classes
+    classes, classes_path = stored(usable.groupBy("n_shingles", "set_a", "set_b").agg(
+        F.min(F.struct("doc_id", "text_hash", "registers")).alias("r")).select(
+        F.monotonically_increasing_id().alias("node"), "n_shingles", "set_a", "set_b", "r.doc_id", "r.text_hash", "r.registers"), "classes")
+    rows_of, _ = stored(made.drop("registers"), "sketch-rows")
+    drop_stored(spark, made_path)
+    reps = classes.select(F.col("node").alias("doc_id"), "n_shingles", "registers")
 
     rows = band_rows(reps)
     heads = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets, _ = stored(rows.join(heads, "key").select("key", "band", "n", "leader", F.col("doc_id").alias("member")),
-                        "buckets")
+    buckets, buckets_path = stored(rows.join(heads, "key").select("key", "band", "n", "leader", F.col("doc_id").alias("member")),
+                                   "buckets")
     star = buckets.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    wanted, _ = stored(_estimated(star, reps).where(F.col("est") >= F.lit(floor)), "estimates")
-    needed = buckets.select(F.col("member").alias("doc_id")).distinct()
+    wanted, wanted_path = stored(_estimated(star, reps, floors), "estimates")
+    needed = classes.join(buckets.select(F.col("member").alias("node")).distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     # the one pass that moves texts: those of bucket members only
-    texts, _ = stored(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
-                      .join(needed, "doc_id", "left_semi"), "texts")
+    texts, texts_path = stored(docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text"))
+                               .join(needed, ["doc_id", "text_hash"]).groupBy(F.col("node").alias("doc_id")).agg(F.min("text").alias("text")), "texts")
 
     def links_of(pairs):
         return _confirmed(pairs, texts).where(F.col("inter") * 100 >= F.col("total") * threshold_pct).select("a", "b")
@@ -300,7 +345,7 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> Data
     named = (buckets.join(comp.select(F.col("id").alias("member"), F.col("component").alias("c")), "member", "left")
              .withColumn("c", F.coalesce("c", "member")))
     mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    cross, _ = stored(_tile_pairs(named.join(mixed, "key"), reps, floor), "cross")
+    cross, cross_path = stored(_tile_pairs(named.join(mixed, "key"), reps, floors), "cross")
     likely = F.col("est") >= F.lit(threshold_pct / 100.0)
     comp = _joined_components(comp, links_of(cross.where(likely)))
     sides = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
@@ -309,14 +354,15 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> Data
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     final = _joined_components(comp, links_of(apart))
 
-    known = (classes.select("n_shingles", "set_a", "set_b", F.col("doc_id").alias("rep"))
-             .join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("component")))
-    return (made.select("doc_id", "n_shingles", "set_a", "set_b")
-            .join(known, ["n_shingles", "set_a", "set_b"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "kept"))
+    of_class = (classes.drop("registers").join(final.select(F.col("id").alias("node"), "component"), "node", "left")
+                .withColumn("component", F.coalesce("component", "node")))
+    smallest = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
+    known, _ = stored(of_class.join(smallest, "component").select("n_shingles", "set_a", "set_b", "least"), "class-components")
+    for path in (classes_path, buckets_path, wanted_path, texts_path, cross_path):
+        drop_stored(spark, path)
+    linked = rows_of.join(known, ["n_shingles", "set_a", "set_b"], "left").withColumn(
+        "least", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id"))
+    first = F.col("least").isNull() | ((F.col("least.doc_id") == F.col("doc_id")) & F.col("least.text_hash").eqNullSafe(F.col("text_hash")))
+    return linked.select("doc_id", "n_shingles", component.alias("component_id"),
+                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_hash", first.alias("first"))
