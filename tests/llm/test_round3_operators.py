@@ -9,7 +9,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from sensorcast.llm import collocations, exact_dedup, periodic_runs, queries
+from pyspark.sql import functions as F
+
+from sensorcast.llm import collocations, exact_dedup, licenses, minhash, periodic_runs, pii, queries
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -232,3 +234,55 @@ def test_no_frequent_phrase_is_lost(spark):
 def test_packed_round_trip():
     for values in (np.zeros(0, np.int64), np.array([0, 1, 255, 256, (1 << 32) - 1])):
         assert collocations.unpacked(collocations.packed(values), len(values)).tolist() == values.tolist()
+
+
+# --- links of short texts, repeated ids, license names, many matches
+def test_short_texts_at_the_threshold_are_linked(spark):
+    """Pairs that share exactly three of four shingles: none may be lost by the estimate."""
+    rows = []
+    for i in range(1500):
+        w = [f"w{i}x{k}" for k in range(8)]
+        rows += [(2 * i, " ".join(w[:7])), (2 * i + 1, " ".join(w[:7] + ["end"]))]  # 3 shingles, and 4 of which 3 are shared
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got)
+
+
+def test_estimate_floors_leave_room_for_lost_shingles():
+    floors = minhash.estimate_floors(75)
+    assert floors[4] < 2 / 3 and floors[8] < 5 / 7 and all(0 < f < 0.67 for f in floors[8:]) and len(floors) == minhash.FLOOR_SIZES + 1
+
+
+def test_one_id_with_two_texts(spark):
+    words = [f"word{i}" for i in range(40)]
+    other = [f"else{i}" for i in range(30)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1] + ["changed"])), (2, "aa " + " ".join(other)), (3, "aa " + " ".join(other[:-1] + ["z"]))]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 36, 1, True), (2, 27, 2, True), (2, 36, 1, False), (3, 27, 2, False)]
+
+
+LICENSE_LINES = [("Licensed under CC BY 4.0", "cc-by"), ("Licensed under CC BY NC 4.0", "cc-by,cc-by-nc"), ("released under the license", ""),
+                 ("This work is licensed under the Mozilla Public License", ""), ("Licensed under the MIT License, Version 2.0", "mit"),
+                 ("Licensed under the Apache License, Version 2.0", "apache-2.0"), ("Released under the MIT License", "mit"),
+                 ("This work is licensed under the GNU\nGeneral Public License", "gpl"), ("All rights reserved", "reserved"),
+                 ("Licensed under CC\nBY-NC 4.0", "cc-by,cc-by-nc"), ("Kit", "")]
+
+
+def test_license_labels_need_the_name(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LICENSE_LINES)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(LICENSE_LINES))] == [want for _, want in LICENSE_LINES]
+
+
+def test_pii_of_a_long_number_table(spark):
+    import time
+    n = 30_000
+    docs = spark.createDataFrame([(1, "12;34," * n + "a@b.de")], "doc_id long, text string")
+    began = time.time()
+    spans = docs.select(pii.match_spans(F.col("text"), "[0-9]+", "n").alias("s")).first().s
+    assert len(spans) == 2 * n and [(s.start, s.end) for s in spans[-2:]] == [(6 * n - 6, 6 * n - 4), (6 * n - 3, 6 * n - 1)]
+    rows = [(1, "12;34," * n + "a@b.de"), (2, "a@b.de;" * 20_000), (3, None), (4, "x a@b.de@c.de 1.2.3.4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    out = {r.doc_id: r for r in pii.redact(docs, pii.Selector([], [], {})).collect()}
+    assert out[1].text == "12;34," * n + "[EMAIL]" and out[2].text == "[EMAIL];" * 20_000 and out[2].n_chars == 160_000
+    assert out[3].text is None and out[4].text == "x [EMAIL]@c.de [IP]" and time.time() - began < 90
