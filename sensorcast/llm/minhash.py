@@ -40,8 +40,8 @@ BAND_ROWS = 4
 TILE_ROWS = 256
 SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
-# candidates whose estimate is this many standard errors below the threshold are dropped
-SLACK_SIGMAS = 4.25
+# the estimate may drop a pair at the threshold with this chance
+MISS = 1e-5
 FLOOR_SIZES = 100
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()),
@@ -148,25 +148,30 @@ def _estimate_batches(floors: np.ndarray):
 
 
 def estimate_floors(threshold_pct: int = THRESHOLD_PCT) -> np.ndarray:
-    """The smallest estimate that a pair at the threshold may have, by the size of the larger set.
+    """The estimate below which a pair at the threshold falls with a chance of
+    ``MISS`` at most, by the size of the larger set.
 
-    Two of ``n`` shingles that fall in one bucket leave one register, which
-    can lower the share of equal ones by ``(1 - p) / (n - 1)`` a time.  As many
-    such losses are allowed for as come with a chance of 1e-6, on top of
-    ``SLACK_SIGMAS`` standard errors.  From ``FLOOR_SIZES`` shingles on the
-    allowance stays.
+    Of ``n`` shingles about ``n^2 / 1024`` pairs fall in one bucket, where one
+    vanishes: a shared one (or one of a mixed pair) lowers the share of equal
+    registers, another raises it.  The registers then sample what is left.
+    From ``FLOOR_SIZES`` shingles on the allowance stays.
     """
     p = threshold_pct / 100.0
     out = np.zeros(FLOOR_SIZES + 1)
     for n in range(1, FLOOR_SIZES + 1):
-        mean, lost = n * n / (2.0 * REGISTERS), 0
-        term = total = math.exp(-mean)
-        while 1 - total > 1e-6 and lost < n:
-            lost += 1
-            term *= mean / lost
-            total += term
-        q = max(0.0, (p * n - lost) / max(n - lost, 1))
-        out[n] = max(0.0, q - SLACK_SIGMAS * (max(q * (1 - q), p * (1 - p)) / REGISTERS) ** 0.5)
+        mean, cases = n * n / (2.0 * REGISTERS), []
+        for lost in range(min(n, 60)):
+            chance = math.exp(lost * math.log(mean) - mean - math.lgamma(lost + 1))
+            for down in range(lost + 1):
+                q = min(max((p * n - down) / (n - lost), 0.0), 1.0)
+                sigma = max((q * (1 - q) / REGISTERS) ** 0.5, 1e-3)
+                cases.append((chance * math.comb(lost, down) * p ** down * (1 - p) ** (lost - down), q, sigma))
+        low, high = 0.0, p
+        for _ in range(30):
+            mid = (low + high) / 2
+            miss = sum(w * 0.5 * math.erfc((q - mid) / (sigma * 2 ** 0.5)) for w, q, sigma in cases)
+            low, high = (mid, high) if miss <= MISS else (low, mid)
+        out[n] = low
     return out
 
 
