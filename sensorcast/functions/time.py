@@ -30,10 +30,6 @@ def epoch_seconds(col) -> Column:
     return F.timestamp_diff("SECOND", _epoch(), _c(col).cast("timestamp_ntz"))
 
 
-def epoch_micros(col) -> Column:
-    return F.timestamp_diff("MICROSECOND", _epoch(), _c(col).cast("timestamp_ntz"))
-
-
 def step_time(col, steps, unit: str = "HOUR") -> Column:
     """``col + steps * unit`` (steps may be a column); the N8 timestamp step."""
     steps = F.lit(steps) if isinstance(steps, int) else _c(steps)

@@ -168,8 +168,3 @@ def prefix_across_blocks(df: DataFrame, keys: list[str], values: dict[str, Colum
     out = b.join(summary, [*keys, "_blk"], "left")
     return (out.withColumns({n: F.col(f"{n}__in") + F.col(f"{n}__off") for n in values})
                .drop("_blk", *[f"{n}__{s}" for n in values for s in ("x", "in", "off")]))
-
-
-def series_length(df: DataFrame, keys: list[str], pos_col: str = "pos") -> DataFrame:
-    """Rows per series from a dense position (max + 1): a combinable aggregate."""
-    return df.groupBy(*keys).agg((F.max(pos_col) + 1).alias("_n"))

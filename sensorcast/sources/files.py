@@ -74,12 +74,6 @@ def read_hourly_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def forecast_append(forecasts: DataFrame, path: str) -> str:
-    """Append forecast rows to the one forecast table, partitioned by model."""
-    forecasts.write.mode("append").partitionBy("model").parquet(path)
-    return path
-
-
 def add_row_id(new: DataFrame, start_after: int | DataFrame = 0,
                order: tuple[str, ...] = ("run_utc", "series_id", "step"),
                id_col: str = "id", bucket_rows: int = 4096) -> DataFrame:
