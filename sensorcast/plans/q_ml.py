@@ -7,6 +7,7 @@ rows-checked by the driver and tested against numpy in ``tests/``.
 from pyspark.sql import functions as F
 
 from sensorcast.functions import time as tf
+from sensorcast.models import joint_forest as jf
 from sensorcast.models import ml
 from sensorcast.operators import regularize as rg
 from sensorcast.operators import split as sp
@@ -83,6 +84,28 @@ def rollout_forest(spark, sf_dir):
     return r6(ml.rollout_forest(models, start, horizon=72))
 
 
+def _joint(spark, sf_dir):
+    s = sp.split_train_test(hourly_table(spark, sf_dir), 0.9)
+    rows, features = jf.pairs(s, year=True)
+    labels = [f"y_{v}" for v in V]
+    nodes = jf.fit(rows.filter(F.col("split") == "train"), features, labels, num_trees=20, max_depth=6, min_leaf=5)
+    return s, rows, features, nodes
+
+
+@register("joint_forest_predict")
+def joint_forest_predict(spark, sf_dir):
+    """One forest for the three variables, scored on the test hours."""
+    _, rows, features, nodes = _joint(spark, sf_dir)
+    labels = [f"y_{v}" for v in V]
+    return r6(jf.predict(nodes, rows.filter(F.col("split") == "test"), features, V, ["series_id", "utc", *labels]))
+
+
+@register("joint_forest_rollout")
+def joint_forest_rollout(spark, sf_dir):
+    s, _, _, nodes = _joint(spark, sf_dir)
+    return r6(jf.rollout(nodes, st.last_observation(s.filter(F.col("split") == "train")), horizon=72, year=True))
+
+
 @register("batch_inference")
 def batch_inference(spark, sf_dir):
     w = _windows(spark, sf_dir)
