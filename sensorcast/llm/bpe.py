@@ -8,7 +8,10 @@ that end inside the longest suffix that can still grow into a token matter.
 That suffix is the state of the transducer; a byte moves to the next state and
 chooses the token that ends there.  What all open encodings have in common is
 emitted, so the lookahead depends on the longest token only.  States and moves
-are made when first met; there are at most as many as token prefixes.
+are made when first met; there are at most as many as token prefixes.  Which of
+the tokens is chosen depends on the last tokens inside the suffix; suffix and
+tokens together are one state of the determinised machine, so that a byte met
+there before costs one look-up.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from sensorcast.llm.common import text_slices
 
 # borders of token pairs that are kept
 MAX_PAIRS = 400_000
+# moves of the determinised machine that are kept
+MAX_MOVES = 600_000
 # a pre-token longer than this emits on the way
 FLUSH_BYTES = 4096
 MAX_PIECES = 400_000
@@ -59,23 +64,33 @@ class Transducer:
     token.  A move by one byte leads to the next state and lists the tokens
     that may end there, longest first.  ``last[i]`` is the last token of the
     encoding of the first ``i`` bytes: the one of those tokens whose border
-    with ``last`` at its start holds.  Encodings that can still go on pass
-    through a position inside the state's suffix, so what they have in common
-    before it is emitted and forgotten.
+    with ``last`` at its start holds.  The borders looked at lie inside the
+    suffix, so ``last`` there and the state decide every later token; the two
+    are a node of the determinised machine (``nodes``, ``steps``).  When it has
+    too many moves it is forgotten but for the node it is in.  Encodings that
+    can still go on pass through a position inside the state's suffix, so what
+    they have in common before it is emitted and forgotten.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_pairs: int = MAX_PAIRS, flush_bytes: int = FLUSH_BYTES):
+    def __init__(self, ranks: dict[bytes, int], max_pairs: int = MAX_PAIRS, flush_bytes: int = FLUSH_BYTES,
+                 max_moves: int = MAX_MOVES):
         self.ranks = ranks
         self.by_id = {i: t for t, i in ranks.items()}
         self.lengths = {i: len(t) for t, i in ranks.items()}
         self.prefixes = {t[:i] for t in ranks for i in range(1, len(t) + 1)}
-        self.max_pairs, self.flush_bytes = max_pairs, flush_bytes
+        self.max_pairs, self.flush_bytes, self.max_moves = max_pairs, flush_bytes, max_moves
         self.states = [b""]
         self.numbers = {b"": 0}
         self.moves: list[dict[int, tuple[int, tuple]]] = [{}]
         self._whole: dict[bytes, bool] = {}
         self._spines: tuple[dict, dict] = ({}, {})
         self._pairs: dict[int, bool] = {}
+        # the determinised machine: node -> (state, last tokens inside its suffix), node << 8 | byte -> node
+        self.nodes: list[tuple[int, tuple[int, ...]]] = []
+        self.tokens_at: list[int] = []
+        self.node_numbers: dict[tuple[int, tuple[int, ...]], int] = {}
+        self.steps: dict[int, int] = {}
+        self._node((0, (-1,)))
 
     def _is_whole(self, token: bytes) -> bool:
         """Whether merging reaches the token from its bytes."""
@@ -137,6 +152,42 @@ class Transducer:
         self.moves[state][byte] = to, ends
         return to, ends
 
+    def _node(self, key: tuple[int, tuple[int, ...]]) -> int:
+        node = self.node_numbers.get(key)
+        if node is None:
+            node = self.node_numbers[key] = len(self.nodes)
+            self.nodes.append(key)
+            self.tokens_at.append(key[1][-1])
+        return node
+
+    def _step(self, node: int, byte: int) -> int:
+        """The node after a byte that was not met there: the longest token that
+        fits the one before it ends here."""
+        state, last = self.nodes[node]
+        if len(self.steps) >= self.max_moves:
+            # emptied in place, the first node and the present one stay
+            for held in (self.steps, self.node_numbers, self.nodes, self.tokens_at):
+                held.clear()
+            self._node((0, (-1,)))
+            node = self._node((state, last))
+        if len(self._pairs) > self.max_pairs:
+            self._pairs = {}
+        pairs, by_id = self._pairs, self.by_id
+        to, ends = self.moves[state].get(byte) or self._move(state, byte)
+        for token, length in ends:
+            left = last[-length]
+            if left < 0:
+                break
+            key = left << 20 | token
+            fits = pairs.get(key)
+            if fits is None:
+                fits = pairs[key] = self._border(by_id[left], by_id[token])
+            if fits:
+                break
+        reached = self._node((to, (last + (token,))[-len(self.states[to]) - 1:]))
+        self.steps[node << 8 | byte] = reached
+        return reached
+
     def _chain(self, last: list[int], at: int) -> list[int]:
         """The ids that lead to a position."""
         out = []
@@ -161,30 +212,24 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self._pairs) > self.max_pairs:
-            self._pairs = {}
-        moves, pairs, by_id = self.moves, self._pairs, self.by_id
-        out: list[int] = []
+        known, tokens_at = self.steps.get, self.tokens_at
         last = [-1]
-        state = 0
+        node = 0
+        if len(piece) <= self.flush_bytes:
+            for byte in piece:
+                to = known(node << 8 | byte)
+                node = self._step(node, byte) if to is None else to
+                last.append(tokens_at[node])
+            return self._chain(last, len(piece))
+        out: list[int] = []
         for byte in piece:
-            state, ends = moves[state].get(byte) or self._move(state, byte)
-            at = len(last)
-            for token, length in ends:
-                left = last[at - length]
-                if left < 0:
-                    break
-                key = left << 20 | token
-                fits = pairs.get(key)
-                if fits is None:
-                    fits = pairs[key] = self._border(by_id[left], by_id[token])
-                if fits:
-                    break
-            last.append(token)
-            if at > self.flush_bytes:
-                done, last = self._flush(last, len(self.states[state]))
+            to = known(node << 8 | byte)
+            node = self._step(node, byte) if to is None else to
+            last.append(tokens_at[node])
+            if len(last) > self.flush_bytes:
+                done, last = self._flush(last, len(self.nodes[node][1]) - 1)
                 out += done
-        return out + self._chain(last, len(last) - 1) if out else self._chain(last, len(last) - 1)
+        return out + self._chain(last, len(last) - 1)
 
 
 class Utf8Stream:
@@ -300,6 +345,18 @@ class ByteBpe:
             yield b"", tail
 
 
+_CODERS: dict[tuple[bytes, str], ByteBpe] = {}
+
+
+def worker_coder(content: bytes, pattern: str) -> ByteBpe:
+    """The coder of this Python worker: later tasks find the states and runs of earlier ones."""
+    key = hashlib.sha256(content).digest(), pattern
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = ByteBpe(read_ranks(content), pattern)
+    return _CODERS[key]
+
+
 def _load(spark, path: str):
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())  # under 1 MB, the vocabulary
@@ -311,7 +368,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        coder = ByteBpe(read_ranks(shared.value), pattern)
+        coder = worker_coder(shared.value, pattern)
         for batch in batches:
             for first, last, *_ in text_slices(batch):
                 part = batch.slice(first, last - first)
@@ -327,7 +384,7 @@ def decode(coded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches):
-        coder = ByteBpe(read_ranks(shared.value), pattern)
+        coder = worker_coder(shared.value, pattern)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
                 ["".join(s for _, s in coder.decode_stream(ids or [])) for ids in batch.column("ids").to_pylist()],
@@ -348,7 +405,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
                         ("decoded_sha256", pa.string()), ("decoded_chars", pa.int64())])
 
     def run(batches):
-        coder = ByteBpe(read_ranks(shared.value), pattern)
+        coder = worker_coder(shared.value, pattern)
         digits = {i: str(i) for i in coder.tokens}.__getitem__
         for batch in batches:
             for first, last, *_ in text_slices(batch):

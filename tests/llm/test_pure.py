@@ -167,3 +167,12 @@ def test_ftrl_learns_and_is_sparse():
 def test_thresholds_need_precision():
     rows = [("card", 0.9, True)] * 9 + [("card", 0.5, False)] * 5 + [("phone", 0.8, False)] * 4
     assert pii.calibrate(rows) == {"card": 0.9}
+
+
+def test_a_small_machine_forgets_and_agrees(ranks):
+    """Moves beyond the limit are forgotten, also within a text; the ids stay the same."""
+    table = bpe.read_ranks(ranks)
+    whole, small = bpe.Transducer(table), bpe.Transducer(table, max_pairs=50, flush_bytes=40, max_moves=30)
+    for piece in (b" unbelievable", b"antidisestablishmentarianism" * 20, bytes(range(256)) * 3, b"aaaaaaaa" * 40, b"x"):
+        assert small.encode(piece) == whole.encode(piece)
+        assert len(small.steps) <= 30
