@@ -6,15 +6,24 @@ its place by walking down the sums, pre-tokenizes again from the last border
 that the edit cannot have moved up to the first old border behind it where the
 two cuts meet, encodes what is new there, and replaces the leaves.  Everything
 outside keeps its counts.
+
+:func:`build_trees` keeps the leaves of all documents as a table and
+:func:`apply_edits` turns that table into the one after some edits: documents
+without edits pass as they are, and of the edited ones only the regions around
+the edits are encoded.  :func:`count_edited` does both in one pass where no
+table is kept.
 """
 
 from __future__ import annotations
 
+import hashlib
+from itertools import accumulate, chain
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorcast.llm.bpe import ByteBpe, read_ranks
+from sensorcast.llm.bpe import worker_coder
 from sensorcast.llm.common import text_slices
 
 # leaves of the tree hold about this many pre-tokens
@@ -67,18 +76,29 @@ class SumTree:
 class EditedDocument:
     """A text with its token count, kept under edits.
 
-    ``cut`` is the compiled pre-token pattern, ``count`` gives the number of tokens of a pre-token.  The text itself is
-    kept in the blocks, so that an edit copies a block and not the document.
+    ``cut`` is the compiled pre-token pattern, ``count`` gives the number of tokens of a pre-token and ``count_all``
+    those of many.  With ``kept``, the lengths and token counts of the text's pre-tokens as :meth:`leaves` gave them,
+    nothing is cut or encoded.  The text itself is kept in the blocks, so that an edit copies a block and not the document.
     """
 
-    def __init__(self, text: str, cut, count):
+    def __init__(self, text: str, cut, count, count_all=None, kept: tuple[list[int], list[int]] | None = None):
         self.cut, self.count = cut, count
-        items = cut.findall(text)
+        if kept is None:
+            items = cut.findall(text)
+            counts = count_all(items) if count_all else list(map(count, items))
+        else:
+            ends = list(accumulate(kept[0]))
+            items = [text[i:j] for i, j in zip([0] + ends, ends)]
+            counts = kept[1]
         self.blocks = [items[i:i + NODE_ITEMS] for i in range(0, len(items), NODE_ITEMS)] or [[]]
-        self.counts = [list(map(count, b)) for b in self.blocks]
+        self.counts = [counts[i:i + NODE_ITEMS] for i in range(0, len(items), NODE_ITEMS)] or [[]]
         self.encoded = 0
         self._build()
 
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Lengths in characters and token counts of the pre-tokens."""
+        return [len(x) for b in self.blocks for x in b], list(chain.from_iterable(self.counts))
+
     def _build(self) -> None:
         self.tree = SumTree([(sum(map(len, b)), sum(c)) for b, c in zip(self.blocks, self.counts)])
 
@@ -192,22 +212,113 @@ class EditedDocument:
 
 
 class PieceCounter:
-    """Number of tokens of a pre-token, by the byte-pair transducer."""
+    """Number of tokens of pre-tokens, by the byte-pair transducer."""
 
-    def __init__(self, ranks: bytes, pattern: str, limit: int = 200_000):
+    def __init__(self, ranks: bytes, pattern: str, limit: int = 400_000):
         import regex
-        self.coder = ByteBpe(read_ranks(ranks), pattern)
+        self.coder = worker_coder(ranks, pattern)
         self.cut = regex.compile(pattern)
         self.limit = limit
         self.known: dict[str, int] = {}
 
     def count(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
-            if len(self.known) > self.limit:
-                self.known = {}
-            n = self.known[piece] = len(self.coder.machine.encode(piece.encode()))
-        return n
+        return self.counts([piece])[0]
+
+    def counts(self, pieces: list[str]) -> list[int]:
+        if len(self.known) > self.limit:
+            self.known = {}
+        known, encode = self.known, self.coder.machine.encode
+        for piece in set(pieces).difference(known):
+            known[piece] = len(encode(piece.encode()))
+        return list(map(known.__getitem__, pieces))
+
+
+_COUNTERS: dict[tuple[bytes, str], PieceCounter] = {}
+
+
+def worker_counter(ranks: bytes, pattern: str) -> PieceCounter:
+    """The counter of this Python worker: later tasks find the pre-tokens of earlier ones."""
+    key = hashlib.sha256(ranks).digest(), pattern
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = PieceCounter(ranks, pattern)
+    return _COUNTERS[key]
+
+
+def _edit_lists(edits: DataFrame) -> DataFrame:
+    """``(doc_id, edits)``: the edits of a document in the order of ``seq``; null places and ids are left out."""
+    return (edits.where("doc_id is not null and seq is not null and start is not null and stop is not null")
+            .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+            .agg(F.sort_array(F.collect_list(F.struct(
+                F.col("seq").cast("int").alias("seq"), F.col("start").cast("int").alias("start"),
+                F.col("stop").cast("int").alias("stop"), F.coalesce("replacement", F.lit("")).alias("replacement")
+            ))).cast(_EDIT).alias("edits")))
+
+
+def _ranks(spark, rank_path: str):
+    with open(rank_path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())  # under 1 MB
+
+
+_TREE = "doc_id long, text string, lengths array<int>, counts array<int>, n_tokens long, n_reencoded long"
+_TREE_ARROW = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lengths", pa.list_(pa.int32())),
+                         ("counts", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("n_reencoded", pa.int64())])
+
+
+def _tree_rows(doc_ids, docs: list[EditedDocument]) -> pa.RecordBatch:
+    leaves = [d.leaves() for d in docs]
+    cols = [doc_ids, [d.text for d in docs], [x for x, _ in leaves], [c for _, c in leaves],
+            [d.n_tokens for d in docs], [d.encoded for d in docs]]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, _TREE_ARROW)],
+                                      schema=_TREE_ARROW)
+
+
+def build_trees(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """``(doc_id, text, lengths, counts, n_tokens, n_reencoded)``: the leaves of every document, to be written as a table.
+
+    ``lengths`` and ``counts`` are the characters and tokens of the pre-tokens in order; ``n_reencoded`` is 0.  Null
+    texts become empty ones, which have no leaves.  One output row per input row, in no shuffle; other columns are
+    ignored, an empty table gives an empty result.
+    """
+    shared = _ranks(docs.sparkSession, rank_path)
+
+    def run(batches):
+        counter = worker_counter(shared.value, pattern)
+        for batch in batches:
+            for first, last, *_ in text_slices(batch):
+                part = batch.slice(first, last - first)
+                yield _tree_rows(part.column("doc_id"), [EditedDocument(t or "", counter.cut, counter.count, counter.counts)
+                                                         for t in part.column("text").to_pylist()])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _TREE)
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """The table of :func:`build_trees` after ``edits`` (as :func:`count_edited` reads them).
+
+    Documents without edits pass as they are, with ``n_reencoded`` 0; for the others only pre-tokens that edits touch
+    are cut and encoded again, and ``n_reencoded`` counts them.  Rows that repeat a document get the same edits; rows with
+    a null id get none; edits of unknown documents are ignored.  An empty table of edits leaves the table unchanged.
+    """
+    shared = _ranks(trees.sparkSession, rank_path)
+    names = ["doc_id", "text", "lengths", "counts", "n_tokens"]
+    lists = _edit_lists(edits)
+    rows = trees.select(*names).join(lists, "doc_id", "left")
+
+    def run(batches):
+        counter = worker_counter(shared.value, pattern)
+        for batch in batches:
+            for first, last, *_ in text_slices(batch):
+                part = batch.slice(first, last - first)
+                done = []
+                for text, lengths, counts, changes in zip(*(part.column(n).to_pylist() for n in ("text", "lengths", "counts", "edits"))):
+                    doc = EditedDocument(text, counter.cut, counter.count, kept=(lengths, counts))
+                    for e in changes:
+                        doc.edit(e["start"], e["stop"], e["replacement"])
+                    done.append(doc)
+                yield _tree_rows(part.column("doc_id"), done)
+    edited = rows.where("edits is not null").select("doc_id", "text", "lengths", "counts", "edits").mapInArrow(run, _TREE)
+    same = rows.where("edits is null").select(*names, F.lit(0).cast("long").alias("n_reencoded"))
+    return same.unionByName(edited)
 
 
 def count_edited(docs: DataFrame, edits: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -224,25 +335,19 @@ def count_edited(docs: DataFrame, edits: DataFrame, rank_path: str, pattern: str
     edits.  Other columns are ignored; an empty table gives an empty result.
     A document's edits are applied one after another and so stay together.
     """
-    with open(rank_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # under 1 MB
-    grouped = (edits.where("doc_id is not null and seq is not null and start is not null and stop is not null")
-               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-               .agg(F.sort_array(F.collect_list(F.struct(
-                   F.col("seq").cast("int").alias("seq"), F.col("start").cast("int").alias("start"),
-                   F.col("stop").cast("int").alias("stop"), F.coalesce("replacement", F.lit("")).alias("replacement")
-               ))).cast(_EDIT).alias("edits")))
+    shared = _ranks(docs.sparkSession, rank_path)
+    grouped = _edit_lists(edits)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(grouped, "doc_id", "left")
     names = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_pretokens", "n_reencoded"]
 
     def run(batches):
-        counter = PieceCounter(shared.value, pattern)
+        counter = worker_counter(shared.value, pattern)
         for batch in batches:
             for first, last, *_ in text_slices(batch):
                 part = batch.slice(first, last - first)
                 out = [[] for _ in names[1:]]
                 for text, changes in zip(part.column("text").to_pylist(), part.column("edits").to_pylist()):
-                    doc = EditedDocument(text or "", counter.cut, counter.count)
+                    doc = EditedDocument(text or "", counter.cut, counter.count, counter.counts)
                     before, pieces = doc.n_tokens, sum(map(len, doc.blocks))
                     for e in changes or []:
                         doc.edit(e["start"], e["stop"], e["replacement"])

@@ -191,3 +191,35 @@ def test_edit_counts(spark, edge):
     got = {r.doc_id: r for r in edit_counts.count_edited(edge, edits, RANKS, P.PATTERN).collect()}
     assert got[1].n_edits == 2 and got[4].n_tokens == 0 and got[4].n_tokens_after == 2 and got[6].n_edits == 0
     assert got[6].n_reencoded == 0 and got[3].n_tokens == 0
+
+
+def test_kept_trees_follow_edits(spark, edge, tmp_path):
+    """Trees written as a table and edited twice equal trees built from the edited texts; the rest is not encoded."""
+    path = str(tmp_path / "trees")
+    edit_counts.build_trees(edge, RANKS, P.PATTERN).write.parquet(path)
+    trees = spark.read.parquet(path)
+    assert trees.count() == 10
+    ddl = "doc_id long, seq int, start int, stop int, replacement string"
+    first = spark.createDataFrame([(6, 0, 100_000, 100_003, "new  words"), (6, 1, 7, 7, "'s"), (7, 0, 0, 5, None),
+                                   (4, 0, 0, 0, "text for an empty one"), (None, 0, 0, 2, "x"), (99, 0, 0, 1, "y")], ddl)
+    second = spark.createDataFrame([(6, 0, 100_001, 100_020, ""), (4, 0, 99, 120, "!"), (3, 0, 0, 0, "\n\n a")], ddl)
+    texts = {i: (t or "") for i, t in edge.select("doc_id", "text").where("doc_id in (3, 4, 6, 7)").collect()}
+    expected = dict(texts)
+    for batch in (first, second):
+        trees = edit_counts.apply_edits(trees, batch, RANKS, P.PATTERN)
+        for r in sorted(batch.collect(), key=lambda r: r.seq):
+            if r.doc_id in expected:
+                t = expected[r.doc_id]
+                expected[r.doc_id] = t[:r.start] + (r.replacement or "") + t[max(r.start, r.stop):]
+    got = trees.collect()
+    assert len(got) == 10 and {r.doc_id: r.text for r in got if r.doc_id in expected} == expected
+    again = {r.doc_id: r for r in edit_counts.build_trees(
+        spark.createDataFrame([(i, t) for i, t in expected.items()], "doc_id long, text string"), RANKS, P.PATTERN).collect()}
+    for r in got:
+        if r.doc_id in again:
+            assert (r.lengths, r.counts, r.n_tokens) == (again[r.doc_id].lengths, again[r.doc_id].counts, again[r.doc_id].n_tokens)
+        assert r.n_tokens == sum(r.counts) and sum(r.lengths) == len(r.text)
+    spent = {r.doc_id: r.n_reencoded for r in got}
+    assert 0 < spent[6] < 100 and spent[1] == spent[2] == spent[None] == 0  # of 30,000 words
+    assert edit_counts.apply_edits(trees.limit(0), first, RANKS, P.PATTERN).count() == 0
+    assert edit_counts.apply_edits(trees, first.limit(0), RANKS, P.PATTERN).agg(F.sum("n_reencoded")).first()[0] == 0
