@@ -29,7 +29,10 @@ MW_ROUNDS = 60
 MW_RATE = 0.5
 # the oracle's mixture takes configurations within this share of the best price
 MW_NEAR = 0.08
-CACHE_WORDS = 700_000
+# words kept by a worker, and as many of those kept before
+CACHE_WORDS = 500_000
+# plain words that are encoded in one call
+JOINED_WORDS = 512
 # pieces of one length are ranked in slots of about this many rows
 SLOT_ROWS = 50_000
 
@@ -38,7 +41,9 @@ _PIECES = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
 _PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-_MARKS = frozenset(".,;:!?")
+# marks of which a run at the end of a word is a pre-token of its own; an apostrophe can begin a contraction, and
+# angle brackets and bars can belong to a special token
+_MARKS = ".,;:!?*#$&%)]}\"~+=-"
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -50,7 +55,11 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its words between blanks and line ends, one after another.
-    Ids of words are kept as little-endian unsigned 32-bit bytes.
+    Ids of words are kept as little-endian unsigned 32-bit bytes.  When
+    ``limit`` words are kept they become the older ones and those before them
+    go, so that frequent words stay.  Words of Latin-1 letters are one
+    pre-token, whose last token the vocabulary marks as an end: many of them
+    are encoded in one call and told apart by the ends.
     """
 
     def __init__(self, definition: str, limit: int = CACHE_WORDS):
@@ -59,28 +68,54 @@ class WordEncoder:
         self.encode_batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = limit
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _core(self, word: str) -> tuple[str, str]:
-        """A word without the mark at its end, where that mark is a pre-token
-        of its own; ASCII words in lower case, as the tokenizer has them."""
-        mark = word[-1] if word[-1] in _MARKS and word[-2:-1].lower()[-1:].isalpha() else ""
-        core = word[:-1] if mark else word
-        return (core.lower() if core.isascii() else core), mark
+        """A word without the marks at its end, where those are a pre-token of
+        their own; words of Latin-1 letters in lower case, as the tokenizer has them."""
+        core = word.rstrip(_MARKS)
+        if core == word or not core[-1:].lower()[-1:].isalpha():
+            core = word
+        plain = "|" not in core and (core.isascii() or max(core) < "\u0100")
+        return (core.lower() if plain else core), word[len(core):]
+
+    def _encode_plain(self, cores: list[str]) -> list[bytes] | None:
+        """The ids of each of some words of letters; None if their ends do not show."""
+        ids = np.array(self.encode_batch([" ".join(cores)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(cuts) != len(cores):
+            return None
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0] + cuts, cuts)]
+
+    def _add_cores(self, cores: list[str]) -> None:
+        for i in range(0, len(cores), JOINED_WORDS):
+            part = cores[i:i + JOINED_WORDS]
+            plain = [c for c in part if c.isalpha() and max(c) < "\u0100"]
+            got = self._encode_plain(plain) if plain else None
+            if got is not None:
+                self.cores.update(zip(plain, got))
+                part = [c for c in part if c not in self.cores]
+            if part:
+                encodings = self.encode_batch(part, add_special_tokens=False)
+                self.cores.update((c, pack_ids(e.ids)) for c, e in zip(part, encodings))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         words = set().union(*split) if split else set()
         if len(self.known) > self.limit:
-            self.known = {"": b""}
+            self.known, self.older = {"": b""}, self.known
         if len(self.cores) > self.limit:
             self.cores = {}
-        missing = {word: self._core(word) for word in words.difference(self.known)}
-        new = list({part for pair in missing.values() for part in pair if part}.difference(self.cores))
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for core, enc in zip(part, self.encode_batch(part, add_special_tokens=False)):
-                self.cores[core] = pack_ids(enc.ids)
+        fresh = words.difference(self.known)
+        again = fresh.intersection(self.older)
+        self.known.update((word, self.older[word]) for word in again)
+        missing = {word: self._core(word) for word in fresh - again}
+        self._add_cores(list({part for pair in missing.values() for part in pair if part}.difference(self.cores)))
         for word, (core, mark) in missing.items():
             self.known[word] = self.cores[core] + self.cores[mark] if mark else self.cores[core]
         get = self.known.__getitem__

@@ -52,8 +52,9 @@ def test_word_encoder_equals_the_tokenizer():
     tok = Tokenizer.from_str(definition)
     encoder = packing.WordEncoder(definition, limit=200)
     rng = random.Random(3)
-    alphabet = "abcABCéÉ'.,!?012 \n\tßΣσİ̈"
-    some = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(800)] + ["", "<|endoftext|> x"]
+    alphabet = "abcABCéÉ'.,!?012 \n\tßΣσİ̈*#-)\"|<>ªµÅ_"
+    some = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(800)] + ["", "<|endoftext|> x", "<|ENDOFTEXT|> a|B", "x<|endoftext|>.!"]
+    some += ["done*** Word$$$ it's## o'clock's). A=\u0338 x--y--"]
     for text, got in zip(some, encoder.encode(some)):
         assert list(np.frombuffer(got, "<u4")) == tok.encode(text, add_special_tokens=False).ids
 
