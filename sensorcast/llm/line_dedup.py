@@ -74,21 +74,25 @@ def _alike(keyed: DataFrame) -> DataFrame:
     hashes = F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))
     texts = keyed.select("text_hash", F.array_sort(F.array_distinct(hashes)).alias("hashes")).where(F.size("hashes") > 0)
     least = F.array(*[F.array_min(F.transform("hashes", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(SKETCHES)])
-    texts, _ = stored(texts.select("text_hash", F.slice("hashes", 1, COMPARED).alias("hashes"), least.alias("least")), "line-sets")
+    texts, texts_path = stored(texts.select("text_hash", F.slice("hashes", 1, COMPARED).alias("hashes"), least.alias("least")), "line-sets")
     # copies have the same text hash and are one row from here on
     places = texts.select("text_hash", F.posexplode("least").alias("k", "value")).distinct()
     firsts = (places.groupBy("k", "value").agg(F.min("text_hash").alias("first"), F.max("text_hash").alias("last"))
               .where("first <> last").select("k", "value", "first"))
-    firsts, _ = stored(firsts, "line-set-firsts")
-    places, _ = stored(places, "line-set-places")
+    firsts, firsts_path = stored(firsts, "line-set-firsts")
+    places, places_path = stored(places, "line-set-places")
     # written, so that a line that a third of all texts have as their least can be split in the join
-    pairs, _ = stored(places.join(firsts, ["k", "value"]).where("text_hash <> first").select("text_hash", "first").distinct(), "line-set-pairs")
+    pairs, pairs_path = stored(places.join(firsts, ["k", "value"]).where("text_hash <> first").select("text_hash", "first").distinct(), "line-set-pairs")
+    for path in (firsts_path, places_path):
+        drop_stored(keyed.sparkSession, path)
     sets = texts.groupBy("text_hash").agg(F.first("hashes").alias("hashes"))
     met = (pairs.join(sets, "text_hash").withColumnRenamed("hashes", "a")
            .join(sets.select(F.col("text_hash").alias("first"), F.col("hashes").alias("b")), "first"))
     both = F.slice(F.array_sort(F.array_union("a", "b")), 1, COMPARED)
     same = F.size(F.array_intersect(both, F.array_intersect("a", "b")))
     alike, _ = stored(met.where((same - 1) * 2 >= F.size(both) - 1).groupBy("text_hash").agg(F.min("first").alias("group")), "alike")
+    for path in (texts_path, pairs_path):
+        drop_stored(keyed.sparkSession, path)
     # the first document may be alike to an earlier one
     up = alike.select(F.col("text_hash").alias("group"), F.col("group").alias("up"))
     return alike.join(up, "group", "left").select("text_hash", F.coalesce("up", "group").alias("group"))
@@ -117,13 +121,14 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     alike, _ = stored(_alike(keyed), "alike-groups")
 
     # a template recurs in a leaf that recurs: the lines of other leaves are done with
-    leaves, _ = stored(lines.select("leaf", "size", "text_hash").distinct().groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("texts"))
+    leaves, leaves_path = stored(lines.select("leaf", "size", "text_hash").distinct().groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("texts"))
                        .where(F.col("texts") >= _needed(min_docs)).select("leaf"), "leaves")
-    lines, _ = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
-    drop_stored(docs.sparkSession, lines_path)
-    shapes = (lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
+    leaf_lines, leaf_lines_path = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
+    for path in (lines_path, leaves_path):
+        drop_stored(docs.sparkSession, path)
+    shapes = (leaf_lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
               .select("leaf", "own", "n", F.split("line", " ").alias("tokens")))
-    shapes, _ = stored(shapes, "shapes")
+    shapes, shapes_path = stored(shapes, "shapes")
     placed = shapes.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     counted = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     top = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("total"))
@@ -135,11 +140,13 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                .where(F.col("same") >= F.col("size") * SIMILARITY).select("leaf", "own", F.lit(True).alias("in_leaf")))
 
     # a template is the leaf's or the line's own
-    named = (lines.select("doc_id", "text_hash", "pos", "size", "leaf", "own").join(grouped, ["leaf", "own"], "left")
+    named = (leaf_lines.select("doc_id", "text_hash", "pos", "size", "leaf", "own").join(grouped, ["leaf", "own"], "left")
              .select("doc_id", "text_hash", "pos", "size",
                      F.when(F.col("in_leaf"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.xxhash64(F.lit("own"), "leaf", "own"))
                      .alias("template")))
     named, _ = stored(named, "templates")
+    for path in (leaf_lines_path, shapes_path):
+        drop_stored(docs.sparkSession, path)
     # written, so that a template that a third of all lines have can be split in the join
     repeated, _ = stored(_recurring(named,
                                     alike, min_docs), "repeated")
