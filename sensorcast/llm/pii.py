@@ -21,6 +21,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorcast.llm.common import drop_stored, stored
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("secret",)
 
@@ -46,12 +48,12 @@ _CUES = r"(?i)(?:mail|phone|tel|call|fax|card|visa|account|host|server|addr|cont
 _SECRET_CUE = r"(?i)(?:key|token|secret|passw|pwd|auth|bearer)[A-Za-z]*[\s\"':=]*$"
 CONTEXT_CHARS = 24
 
-# the fit reads at most this many documents (smallest hash of the id among
-# those with a digit or an at sign) and this many of their proposals
-FIT_DOCS = 4000
-FIT_PROPOSALS = 20_000
 TREES, DEPTH = 12, 4
 PRECISION = 0.9
+# thresholds are multiples of one part in so many
+STEPS = 2000
+# MLlib takes split points from all rows up to the square of this number of different ones
+MAX_BINS = 1024
 
 _SPANS = "array<struct<kind:string,start:int,end:int,body:string>>"
 FEATURES = ("n_chars", "n_digits", "n_letters", "n_dots", "n_marks", "plus", "at", "longest_run", "kind",
@@ -211,10 +213,10 @@ class Selector:
         return 1.0 / (1.0 + F.exp(-2.0 * margin))
 
     def selects(self, proposal: Column) -> Column:
-        chosen = F.lit(False)
-        for kind, least in self.thresholds.items():
-            chosen = chosen | ((proposal["kind"] == kind) & (self.probability(proposal["f"]) >= F.lit(least)))
-        return chosen
+        least = F.lit(2.0)  # no probability reaches it
+        for kind, at in self.thresholds.items():
+            least = F.when(proposal["kind"] == kind, F.lit(at)).otherwise(least)
+        return self.probability(proposal["f"]) >= least
 
 
 def _read_tree(node):
@@ -224,47 +226,65 @@ def _read_tree(node):
     return FEATURES[split.featureIndex()], float(split.threshold()), _read_tree(node.leftChild()), _read_tree(node.rightChild())
 
 
-def calibrate(rows: list[tuple[str, float, bool]], precision: float = PRECISION) -> dict[str, float]:
+def calibrate(rows: list[tuple], precision: float = PRECISION) -> dict[str, float]:
     """Per kind the least probability from which on the proposals are right
-    with the given precision; kinds without one get none."""
+    with the given precision; kinds without one get none.  A row is kind,
+    probability, whether it is right, and how many such proposals there are
+    (one if not given)."""
     out = {}
     for kind in KINDS:
-        own = sorted(((p, y) for k, p, y in rows if k == kind), reverse=True)
-        right = 0
-        for n, (p, y) in enumerate(own, 1):
-            right += y
-            if right >= precision * n and right >= 3 and (n == len(own) or own[n][0] < p):
+        own = sorted(((p, y, n[0] if n else 1) for k, p, y, *n in rows if k == kind), reverse=True)
+        seen = right = 0
+        for i, (p, y, n) in enumerate(own, 1):
+            seen += n
+            right += n * y
+            if right >= precision * seen and right >= 3 and (i == len(own) or own[i][0] < p):
                 out[kind] = p
     return out
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Selector:
-    """Train trees and thresholds on the proposals of a bounded sample of documents."""
-    candidates = docs.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
-    chosen = candidates.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
-    # fit_docs ids at most
-    sample = candidates.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text")
-    rows = (with_proposals(with_base_spans(sample))
-            .select("doc_id", F.explode("proposals").alias("p"))
-            .select("doc_id", "p.kind", "p.start", "p.f.*", F.col("p.kind").alias("of"), F.col("p.label").cast("double").alias("label"))
-            .toDF("doc_id", "of", "start", *FEATURES, "of2", "label").drop("of2")
-            .orderBy(F.xxhash64("doc_id", "start", "of")).limit(FIT_PROPOSALS))
-    rows = rows.withColumn("calibrates", F.xxhash64(F.lit("fold"), "doc_id") % 3 == 0).persist()
+def training_rows(docs: DataFrame) -> DataFrame:
+    """The proposals of all documents: kind, features, label, ``calibrates``
+    and ``n``, the number of proposals that have these values.
+
+    A third of the documents, by a hash of the id (of the text where there is
+    none), calibrates.
+    """
+    fold = F.xxhash64(F.lit("fold"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))) % 3 == 0
+    # no generator matches without a digit or an at sign
+    found = with_proposals(with_base_spans(docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text")))
+    # the outer kind, as the other has the proposals made again in an inferred filter
+    rows = (found.select(fold.alias("calibrates"), F.explode_outer("proposals").alias("p")).where("p.kind is not null")
+            .select("calibrates", F.col("p.kind").alias("of"), F.col("p.label").cast("double").alias("label"), "p.f.*"))
+    return rows.groupBy("calibrates", "of", "label", *FEATURES).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit(docs: DataFrame) -> Selector:
+    """Train trees and thresholds on the proposals of all documents.
+
+    Proposals with the same kind, features and label are one weighted row.
+    The driver gets the trees and, per kind, step of probability and label,
+    one number.
+    """
+    rows, path = stored(training_rows(docs), "pii-training-rows")
     try:
         seen = {r["label"] for r in rows.where("not calibrates").select("label").distinct().collect()}
         if len(seen) < 2:
             return Selector([], [], {})
-        assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="v").transform(rows).coalesce(2)
-        model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=11) \
-            .fit(assembled.where("not calibrates"))
+        weighted = rows.where("not calibrates").withColumn("weight", F.col("n").cast("double"))
+        assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="v").transform(weighted)
+        model = GBTClassifier(featuresCol="v", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=MAX_BINS, seed=11) \
+            .fit(assembled.select("v", "label", "weight"))
         trees = [_read_tree(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode"))
                  for t in model.trees]
         selector = Selector(trees, [float(w) for w in model.treeWeights], {})
-        held = rows.where("calibrates").select("of", selector.probability(F.struct(*FEATURES)).alias("p"), "label").collect()
-        selector.thresholds = calibrate([(r["of"], r["p"], r["label"] > 0) for r in held])
+        step = F.floor(selector.probability(F.struct(*FEATURES)) * STEPS)
+        # at most kinds x (STEPS + 1) x 2 rows
+        held = rows.where("calibrates").groupBy("of", step.alias("step"), "label").agg(F.sum("n").alias("n")).collect()
+        selector.thresholds = calibrate([(r["of"], r["step"] / STEPS, r["label"] > 0, r["n"]) for r in held])
         return selector
     finally:
-        rows.unpersist()
+        drop_stored(docs.sparkSession, path)
 
 
 def _order(kind: Column) -> Column:
