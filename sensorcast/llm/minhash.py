@@ -10,8 +10,9 @@ those that are far apart, and the rest is confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are represented by the smallest
 id.  Inside a band bucket every class is compared to the bucket's smallest
-member first.  Links between members are then implied unless two of them are
-still in different components.  Buckets that still hold several components
+member first: each class to one such leader, then, where leaders it meets are
+in other components, to one of each.  Links between members are then implied
+unless two of them are still in different components.  Buckets that still hold several components
 are cut into tiles; pairs of tiles are compared by their registers inside a
 task, which returns only the pairs of different components that pass, the
 likeliest first.  No link is lost, and the pairs of a bucket are never all
@@ -334,8 +335,10 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
     heads = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets, buckets_path = stored(rows.join(heads, "key").select("key", "band", "n", "leader", F.col("doc_id").alias("member")),
                                    "buckets")
-    star = buckets.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    wanted, wanted_path = stored(_estimated(star, reps, floors), "estimates")
+    star = buckets.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b"))
+    # one leader of each member first: members of a large group share most of their buckets
+    least = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    wanted, wanted_path = stored(_estimated(least, reps, floors), "estimates")
     needed = classes.join(buckets.select(F.col("member").alias("node")).distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     # the one pass that moves texts: those of bucket members only
     texts, texts_path = stored(docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text"))
@@ -344,6 +347,14 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
     def links_of(pairs):
         return _confirmed(pairs, texts).where(F.col("inter") * 100 >= F.col("total") * threshold_pct).select("a", "b")
     comp = connected_components(links_of(wanted))
+    # then one leader in each component that a member meets and is not in; what
+    # this leaves open is in buckets with several components
+    met = (star.join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+           .join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+           .withColumn("ca", F.coalesce("ca", "a")).where(F.col("ca") != F.coalesce("cb", "b")))
+    further, further_path = stored(_estimated(met.groupBy("b", "ca").agg(F.min("a").alias("a")).select("a", "b")
+                                              .join(least, ["a", "b"], "left_anti"), reps, floors), "estimates")
+    comp = _joined_components(comp, links_of(further))
 
     # the pairs of buckets with several components; the likely links are
     # confirmed first, which settles most of the others
@@ -363,7 +374,7 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
                 .withColumn("component", F.coalesce("component", "node")))
     smallest = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
     known, _ = stored(of_class.join(smallest, "component").select("n_shingles", "set_a", "set_b", "least"), "class-components")
-    for path in (classes_path, buckets_path, wanted_path, texts_path, cross_path):
+    for path in (classes_path, buckets_path, wanted_path, further_path, texts_path, cross_path):
         drop_stored(spark, path)
     linked = rows_of.join(known, ["n_shingles", "set_a", "set_b"], "left").withColumn(
         "least", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")))
