@@ -112,6 +112,15 @@ def ftrl(rows: list[np.ndarray], y: np.ndarray, n_features: int, epochs: int = E
     return shrink(z, n), free(z0, n0)
 
 
+def repeated(values: np.ndarray, times: int) -> np.ndarray:
+    """The distinct values that occur ``times`` times at least, sorted; sorts ``values`` in place."""
+    values.sort()
+    ends = values[times - 1:]
+    often = values[:len(ends)] == ends
+    found = ends[often]
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
+
+
 def held_out(doc_id="doc_id"):
     """crc32 of the id as text leaves 0 modulo 5; null ids are not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % HELD_OUT_MOD == 0, F.lit(False))
@@ -137,22 +146,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS_PER_CLASS)
     # at most 2 * per_class rows of two integers
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     got = sample.select("doc_id", "y", "text").mapInArrow(_feature_batches, "y int, feats binary").collect()
-    got.sort(key=lambda r: (bytes(r["feats"]), r["y"]))
-    y = np.array([r["y"] for r in got], float)
-    raw = [np.frombuffer(r["feats"], np.uint32) for r in got]
+    got = sorted((bytes(r["feats"]), r["y"]) for r in got)
+    y = np.array([label for _, label in got], float)
+    raw = [np.frombuffer(feats, np.uint32) for feats, _ in got]
     del got
     n1, n0 = shares.get(1, 0), shares.get(0, 0)
     prior = float(np.log((n1 + 0.5) / (n0 + 1.5)))
     if len(y) == 0 or y.min() == y.max():
         return SparseModel(np.zeros(0, np.uint32), np.zeros(0), prior)
-    names, seen = np.unique(np.concatenate(raw), return_counts=True)
-    names = names[seen >= MIN_DOCS]
+    names = repeated(np.concatenate(raw), MIN_DOCS)
     if len(names) == 0:
         return SparseModel(np.zeros(0, np.uint32), np.zeros(0), prior)
     rows = []
     for r in raw:
         at = np.minimum(np.searchsorted(names, r), len(names) - 1)
-        rows.append(at[names[at] == r])
+        rows.append(at[names[at] == r].astype(np.int32))
     del raw
     w, w0 = ftrl(rows, y, len(names))
     w0 += prior - float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 1.5)))
