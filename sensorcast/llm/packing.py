@@ -13,6 +13,7 @@ the pieces of the same length.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -44,6 +45,7 @@ _PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # marks of which a run at the end of a word is a pre-token of its own; an apostrophe can begin a contraction, and
 # angle brackets and bars can belong to a special token
 _MARKS = ".,;:!?*#$&%)]}\"~+=-"
+_beyond_latin = re.compile("[^\x00-\xff]").search
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -80,7 +82,7 @@ class WordEncoder:
         core = word.rstrip(_MARKS)
         if core == word or not core[-1:].lower()[-1:].isalpha():
             core = word
-        plain = "|" not in core and (core.isascii() or max(core) < "\u0100")
+        plain = "|" not in core and (core.isascii() or not _beyond_latin(core))
         return (core.lower() if plain else core), word[len(core):]
 
     def _encode_plain(self, cores: list[str]) -> list[bytes] | None:
@@ -93,16 +95,17 @@ class WordEncoder:
         return [data[i:j] for i, j in zip([0] + cuts, cuts)]
 
     def _add_cores(self, cores: list[str]) -> None:
-        for i in range(0, len(cores), JOINED_WORDS):
-            part = cores[i:i + JOINED_WORDS]
-            plain = [c for c in part if c.isalpha() and max(c) < "\u0100"]
-            got = self._encode_plain(plain) if plain else None
+        plain = [c for c in cores if c.isalpha() and (c.isascii() or not _beyond_latin(c))]
+        for i in range(0, len(plain), JOINED_WORDS):
+            part = plain[i:i + JOINED_WORDS]
+            got = self._encode_plain(part)
             if got is not None:
-                self.cores.update(zip(plain, got))
-                part = [c for c in part if c not in self.cores]
-            if part:
-                encodings = self.encode_batch(part, add_special_tokens=False)
-                self.cores.update((c, pack_ids(e.ids)) for c, e in zip(part, encodings))
+                self.cores.update(zip(part, got))
+        others = [c for c in cores if c not in self.cores]
+        for i in range(0, len(others), JOINED_WORDS):
+            part = others[i:i + JOINED_WORDS]
+            encodings = self.encode_batch(part, add_special_tokens=False)
+            self.cores.update((c, pack_ids(e.ids)) for c, e in zip(part, encodings))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -111,14 +114,33 @@ class WordEncoder:
             self.known, self.older = {"": b""}, self.known
         if len(self.cores) > self.limit:
             self.cores = {}
-        fresh = words.difference(self.known)
-        again = fresh.intersection(self.older)
-        self.known.update((word, self.older[word]) for word in again)
-        missing = {word: self._core(word) for word in fresh - again}
-        self._add_cores(list({part for pair in missing.values() for part in pair if part}.difference(self.cores)))
-        for word, (core, mark) in missing.items():
-            self.known[word] = self.cores[core] + self.cores[mark] if mark else self.cores[core]
-        get = self.known.__getitem__
+        known, older, cores = self.known, self.older, self.cores
+        whole, marked, missing = {}, {}, set()
+        for word in words.difference(known):
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+            elif word.isascii() and word.isalpha():  # most words: nothing to take off
+                core = word.lower()
+                whole[word] = core
+                if core not in cores:
+                    missing.add(core)
+            else:
+                core, mark = self._core(word)
+                if mark:
+                    marked[word] = core, mark
+                    if mark not in cores:
+                        missing.add(mark)
+                else:
+                    whole[word] = core
+                if core not in cores:
+                    missing.add(core)
+        self._add_cores(list(missing))
+        for word, core in whole.items():
+            known[word] = cores[core]
+        for word, (core, mark) in marked.items():
+            known[word] = cores[core] + cores[mark]
+        get = known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
 

@@ -223,3 +223,29 @@ def test_kept_trees_follow_edits(spark, edge, tmp_path):
     assert 0 < spent[6] < 100 and spent[1] == spent[2] == spent[None] == 0  # of 30,000 words
     assert edit_counts.apply_edits(trees.limit(0), first, RANKS, P.PATTERN).count() == 0
     assert edit_counts.apply_edits(trees, first.limit(0), RANKS, P.PATTERN).agg(F.sum("n_reencoded")).first()[0] == 0
+
+
+def test_pii_fit_reads_all_documents(spark):
+    """Only documents after the 4,000 with the smallest hashes have addresses; of 27,603 proposals none is left out."""
+    rows = spark.range(4600).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    texts = [(r.doc_id, "no 1234567 x 2345678 y" + (" a.b@c.de" if k >= 4000 else " 3456789") * 2) for k, r in enumerate(rows)]
+    docs = spark.createDataFrame(texts + [(None, "null id 12345678 z@y.xx"), (9001, None)], "doc_id long, text string").repartition(3)
+    assert "email" in pii.fit(docs).thresholds
+    counts = {(r.of, r.label): r.n for r in pii.training_rows(docs).groupBy("of", "label").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {("card", 0.0): 3 * 4000 + 2 * 600 + 1, ("phone", 0.0): 3 * 4000 + 2 * 600 + 1, ("email", 1.0): 2 * 600 + 1}
+
+
+def test_near_copies_meet_few_leaders(spark, monkeypatch):
+    """A large group of near copies makes about one pair a document, not one for every band."""
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(words[:i] + ["changed"] + words[i + 1:])) for i in range(120)]
+    pairs = []
+    estimated = minhash._estimated
+
+    def counted(some, *rest):
+        pairs.append(some.count())
+        return estimated(some, *rest)
+    monkeypatch.setattr(minhash, "_estimated", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 120
+    assert sum(pairs) < 2 * 120

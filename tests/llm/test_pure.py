@@ -177,3 +177,27 @@ def test_a_small_machine_forgets_and_agrees(ranks):
     for piece in (b" unbelievable", b"antidisestablishmentarianism" * 20, bytes(range(256)) * 3, b"aaaaaaaa" * 40, b"x"):
         assert small.encode(piece) == whole.encode(piece)
         assert len(small.steps) <= 30
+
+
+def test_plain_words_need_no_marks_taken_off(monkeypatch):
+    """Words of ASCII letters go to the tokenizer without a look at their ends."""
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    looked = []
+    core = encoder._core
+    monkeypatch.setattr(encoder, "_core", lambda word: looked.append(word) or core(word))
+    text = "Plain words only, Éa words plain ONLY"
+    assert encoder.encode([text]) == [packing.pack_ids(encoder.tokenizer.encode(text, add_special_tokens=False).ids)]
+    assert sorted(looked) == ["only,", "Éa"]
+
+
+def test_repeated_values_in_little_memory():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    for values in (rng.integers(0, 300_000, 400_000, dtype=np.uint32), np.zeros(0, np.uint32), np.array([3, 3], np.uint32), np.full(9, 7, np.uint32)):
+        names, seen = np.unique(values, return_counts=True)
+        tracemalloc.start()
+        got = toxicity.repeated(values, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got.tolist() == names[seen >= 3].tolist() and peak < 1.2 * values.nbytes + 10_000
