@@ -10,9 +10,12 @@ those that are far apart, and the rest is confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are represented by the smallest
 id.  Inside a band bucket every class is compared to the bucket's smallest
-member first: each class to one such leader, then, where leaders it meets are
-in other components, to one of each.  Links between members are then implied
-unless two of them are still in different components.  Buckets that still hold several components
+member first: each class to one such leader in the first bands, then, where
+leaders it meets in any band are in other components, to one of each.  A class
+is joined with the bands as one row and with their buckets only where its
+component is not the leader's, so a large group makes a few rows a document,
+not one for every band.  Links between members are then implied unless two of
+them are still in different components.  Buckets that still hold several components
 are cut into tiles; pairs of tiles are compared by their registers inside a
 task, which returns only the pairs of different components that pass, the
 likeliest first.  No link is lost, and the pairs of a bucket are never all
@@ -37,6 +40,8 @@ BUCKET_BITS = 9
 MANTISSA_BITS = 10
 BANDS = 32
 BAND_ROWS = 4
+# bands in which a class looks for its one leader
+FIRST_BANDS = 8
 # a bucket is cut into tiles of about this many members
 TILE_ROWS = 256
 SHINGLE_WORDS = 5
@@ -214,12 +219,37 @@ def sketches(docs: DataFrame) -> DataFrame:
         .mapInArrow(_sketch_batches, _SKETCH_DDL)
 
 
-def band_rows(reps: DataFrame) -> DataFrame:
-    """``(key, doc_id)``: one row per band of compressed registers."""
+def band_keys(reps: DataFrame) -> DataFrame:
+    """``(doc_id, keys)``: the hash of every band of compressed registers."""
     width = 2 * BAND_ROWS
-    return (reps.select("doc_id", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-            .select("doc_id", "band", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width)))
-                    .alias("key")))
+    return reps.select("doc_id", F.array(*[F.xxhash64(F.lit(b), F.substring("registers", b * width + 1, width)) for b in range(BANDS)])
+                       .alias("keys"))
+
+
+def _band_members(keyed: DataFrame, heads: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``(member, leader)`` of every class that shares a bucket: its smallest
+    leader in the first bands, null where only others are shared."""
+    early = keyed.select("doc_id", F.explode(F.slice("keys", 1, FIRST_BANDS)).alias("key")).join(heads, "key")
+    early, early_path = stored(early.groupBy(F.col("doc_id").alias("member")).agg(F.min("leader").alias("leader")), "early-members")
+    rest = keyed.join(early.select(F.col("member").alias("doc_id")), "doc_id", "left_anti")
+    late = rest.select("doc_id", F.explode(F.slice("keys", FIRST_BANDS + 1, BANDS)).alias("key")).join(heads, "key", "left_semi")
+    late, late_path = stored(late.select(F.col("doc_id").alias("member"), F.lit(None).cast("long").alias("leader")).distinct(), "late-members")
+    return early.unionByName(late), [early_path, late_path]
+
+
+def _named(keyed: DataFrame, comp: DataFrame) -> DataFrame:
+    """``(member, c, band, key)``: the component of every class, by bands."""
+    named = (keyed.join(comp.select(F.col("id").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left")
+             .select(F.col("doc_id").alias("member"), F.coalesce("c", "doc_id").alias("c"), "keys"))
+    return named.select("member", "c", F.posexplode("keys").alias("band", "key"))
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """``(key, n, leader, cl)`` of the buckets with several components; the
+    leader is the smallest member, ``cl`` its component."""
+    return (named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("leader"),
+                                     F.min_by("c", "member").alias("cl"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+            .where("c0 <> c1").select("key", "n", "leader", "cl"))
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, floors: np.ndarray) -> DataFrame:
@@ -331,15 +361,14 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
     drop_stored(spark, made_path)
     reps = classes.select(F.col("node").alias("doc_id"), "n_shingles", "registers")
 
-    rows = band_rows(reps)
-    heads = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets, buckets_path = stored(rows.join(heads, "key").select("key", "band", "n", "leader", F.col("doc_id").alias("member")),
-                                   "buckets")
-    star = buckets.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b"))
+    keyed, keyed_path = stored(band_keys(reps), "band-keys")
+    heads, heads_path = stored(keyed.select("doc_id", F.explode("keys").alias("key")).groupBy("key").agg(
+        F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader"), "band-heads")
+    members, member_paths = _band_members(keyed, heads)
     # one leader of each member first: members of a large group share most of their buckets
-    least = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    least = members.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b"))
     wanted, wanted_path = stored(_estimated(least, reps, floors), "estimates")
-    needed = classes.join(buckets.select(F.col("member").alias("node")).distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
+    needed = classes.join(members.select(F.col("member").alias("node")), "node", "left_semi").select("node", "doc_id", "text_hash")
     # the one pass that moves texts: those of bucket members only
     texts, texts_path = stored(docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text"))
                                .join(needed, ["doc_id", "text_hash"]).groupBy(F.col("node").alias("doc_id")).agg(F.min("text").alias("text")), "texts")
@@ -349,18 +378,16 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
     comp = connected_components(links_of(wanted))
     # then one leader in each component that a member meets and is not in; what
     # this leaves open is in buckets with several components
-    met = (star.join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-           .join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-           .withColumn("ca", F.coalesce("ca", "a")).where(F.col("ca") != F.coalesce("cb", "b")))
-    further, further_path = stored(_estimated(met.groupBy("b", "ca").agg(F.min("a").alias("a")).select("a", "b")
-                                              .join(least, ["a", "b"], "left_anti"), reps, floors), "estimates")
+    shared, shared_path = stored(keyed.join(members.select(F.col("member").alias("doc_id")), "doc_id", "left_semi"), "member-keys")
+    named = _named(shared, comp)
+    met = named.join(_mixed(named), "key").where("c <> cl").groupBy(F.col("member").alias("b"), "cl").agg(F.min("leader").alias("a"))
+    further, further_path = stored(_estimated(met.select("a", "b").join(least, ["a", "b"], "left_anti"), reps, floors), "estimates")
     comp = _joined_components(comp, links_of(further))
 
     # the pairs of buckets with several components; the likely links are
     # confirmed first, which settles most of the others
-    named = (buckets.join(comp.select(F.col("id").alias("member"), F.col("component").alias("c")), "member", "left")
-             .withColumn("c", F.coalesce("c", "member")))
-    mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    named = _named(shared, comp)
+    mixed = _mixed(named).select("key", "n")
     cross, cross_path = stored(_tile_pairs(named.join(mixed, "key"), reps, floors), "cross")
     likely = F.col("est") >= F.lit(threshold_pct / 100.0)
     comp = _joined_components(comp, links_of(cross.where(likely)))
@@ -374,7 +401,7 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
                 .withColumn("component", F.coalesce("component", "node")))
     smallest = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
     known, _ = stored(of_class.join(smallest, "component").select("n_shingles", "set_a", "set_b", "least"), "class-components")
-    for path in (classes_path, buckets_path, wanted_path, further_path, texts_path, cross_path):
+    for path in (classes_path, keyed_path, heads_path, *member_paths, shared_path, wanted_path, further_path, texts_path, cross_path):
         drop_stored(spark, path)
     linked = rows_of.join(known, ["n_shingles", "set_a", "set_b"], "left").withColumn(
         "least", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")))

@@ -249,3 +249,29 @@ def test_near_copies_meet_few_leaders(spark, monkeypatch):
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {r.component_id for r in got} == {0} and len(got) == 120
     assert sum(pairs) < 2 * 120
+
+
+def test_near_copies_are_few_bucket_rows(spark, monkeypatch):
+    """Members of a large group are not written or joined once for every band; the rows grow with the group, not its square."""
+    words = [f"w{i}" for i in range(150)]
+    copies = [(i, " ".join(words[:i] + ["changed"] + words[i + 1:])) for i in range(120)]
+    write = minhash.stored
+    made = {}
+
+    def counted(df, name):
+        out, path = write(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out, path
+    monkeypatch.setattr(minhash, "stored", counted)
+    most = []
+    for n in (60, 120):
+        made.clear()
+        got = minhash.near_duplicates(spark.createDataFrame(copies[:n], "doc_id long, text string").repartition(4)).collect()
+        assert {r.component_id for r in got} == {0} and len(got) == n
+        most.append(max(made.values()))
+    assert most[1] <= 2 * 120 and most[1] <= 2.5 * most[0]
+    keyed = spark.range(40).select(F.col("id").alias("doc_id"), F.array(*[F.lit(k) for k in range(minhash.BANDS)]).alias("keys"))
+    apart = minhash._named(keyed, spark.createDataFrame([(i, 0) for i in range(39)], "id long, component long"))
+    mixed = minhash._mixed(apart)
+    assert mixed.count() == minhash.BANDS and {(r.n, r.leader, r.cl) for r in mixed.collect()} == {(40, 0, 0)}
+    assert apart.join(mixed, "key").where("c <> cl").count() == minhash.BANDS  # of the one class that is apart
