@@ -17,7 +17,11 @@ line hash, for any of eight hash functions, when half of their lines are the
 same, one shared line (the one that is tested) left aside.  So no single line
 decides, however low it hashes.
 Lines are masked once and written; only the lines of recurring leaves go on, and
-of them only hashes are shuffled, and the tokens of every distinct one.
+of them only hashes are shuffled, and the tokens of every distinct one.  A bit
+map of fixed size holds the hashes of the recurring leaves, and later those of
+the documents that lose lines.  It lets all of them through and few others, so
+the lines and texts that stay as they are are not shuffled; a join follows that
+is exact.
 """
 
 from __future__ import annotations
@@ -41,6 +45,10 @@ CONSTANT_SHARE = 0.5
 # a line belongs to the leaf's template when it has this share of the tokens as constants
 SIMILARITY = 0.7
 
+# bits of the map of hashes (8 MB), in rows of F.bitmap_construct_agg's 32,768
+MAP_BITS = 1 << 26
+MAP_ROW_BITS = 1 << 15
+
 _FIELD = "<*>"
 
 
@@ -54,6 +62,26 @@ def masked(lines: Column) -> Column:
     return F.transform(fields, lambda x: F.trim(x))
 
 
+def _bit(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(MAP_BITS))
+
+
+def _bit_map(hashes: DataFrame) -> DataFrame:
+    """``(_map_row, _bits)``: the bits of a column ``hash``; at most ``MAP_BITS`` in all."""
+    bit = _bit(F.col("hash"))
+    return (hashes.where("hash is not null").groupBy(F.floor(bit / MAP_ROW_BITS).cast("int").alias("_map_row"))
+            .agg(F.bitmap_construct_agg((bit % MAP_ROW_BITS).cast("long")).alias("_bits")))
+
+
+def _marked(df: DataFrame, hashed: Column, bit_map: DataFrame) -> DataFrame:
+    """The rows with a new column ``_marked``: true where the hash may be in the map."""
+    bit = _bit(hashed)
+    place = (bit % MAP_ROW_BITS).cast("int")
+    rows = df.withColumn("_map_row", F.floor(bit / MAP_ROW_BITS).cast("int")).join(F.broadcast(bit_map), "_map_row", "left")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.withColumn("_marked", F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False))).drop("_map_row", "_bits")
+
+
 def _lines(keyed: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, pos, line, size, leaf, own)`` of every line with
     enough tokens; ``line`` is masked, its tokens stand between single blanks."""
@@ -123,8 +151,10 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # a template recurs in a leaf that recurs: the lines of other leaves are done with
     leaves, leaves_path = stored(lines.select("leaf", "size", "text_hash").distinct().groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("texts"))
                        .where(F.col("texts") >= _needed(min_docs)).select("leaf"), "leaves")
-    leaf_lines, leaf_lines_path = stored(lines.join(leaves, "leaf", "left_semi"), "leaf-lines")
-    for path in (lines_path, leaves_path):
+    leaf_map, leaf_map_path = stored(_bit_map(leaves.select(F.col("leaf").alias("hash"))), "leaf-map")
+    maybe = _marked(lines, F.col("leaf"), leaf_map).where("_marked").drop("_marked")
+    leaf_lines, leaf_lines_path = stored(maybe.join(leaves, "leaf", "left_semi"), "leaf-lines")
+    for path in (lines_path, leaves_path, leaf_map_path):
         drop_stored(docs.sparkSession, path)
     shapes = (leaf_lines.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
               .select("leaf", "own", "n", F.split("line", " ").alias("tokens")))
@@ -165,10 +195,16 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     before all others.  Other columns stay (columns named ``n_lines`` or
     ``n_dropped`` are replaced); an empty table gives an empty result.
     """
-    drops = dropped_lines(docs, min_docs).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("drops").alias("_drops"))
+    drops, _ = stored(dropped_lines(docs, min_docs).select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("drops").alias("_drops")), "drops")
+    text_map, _ = stored(_bit_map(drops.select(F.xxhash64("_doc", "_hash").alias("hash"))), "drop-map")
     base = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = base.join(drops, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    base = _marked(base, F.xxhash64("doc_id", "_text_hash"), text_map)
+    # texts that lose no line are not moved
+    whole = base.where("not _marked").drop("_marked")
+    joined = base.where("_marked").drop("_marked").join(
+        drops, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    joined = joined.unionByName(whole, allowMissingColumns=True)
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_drops", i)), "\n")
     return (joined.withColumn("n_lines", F.when(F.length("text") > 0, F.size(lines)).otherwise(0).cast("long"))

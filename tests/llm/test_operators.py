@@ -275,3 +275,22 @@ def test_near_copies_are_few_bucket_rows(spark, monkeypatch):
     mixed = minhash._mixed(apart)
     assert mixed.count() == minhash.BANDS and {(r.n, r.leader, r.cl) for r in mixed.collect()} == {(40, 0, 0)}
     assert apart.join(mixed, "key").where("c <> cl").count() == minhash.BANDS  # of the one class that is apart
+
+
+def test_line_dedup_moves_few_texts(spark, monkeypatch):
+    """Only lines of recurring leaves and texts that lose lines pass the bit map; columns named as its own stay."""
+    rows = [(i, f"own {chr(97 + i)} words only here {chr(98 + i)}\n" + "foot of all the pages\n" * (i < 12)) for i in range(24)]
+    docs = spark.createDataFrame([(i, t, "kept") for i, t in rows + [(None, rows[3][1]), (50, None)]], "doc_id long, text string, bits string")
+    mark = line_dedup._marked
+    seen = []
+
+    def counted(df, *rest):
+        out = mark(df, *rest)
+        seen.append((df.count(), out.where("_marked").count()))
+        return out
+    monkeypatch.setattr(line_dedup, "_marked", counted)
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert len(got) == 26 and all(r.bits == "kept" for r in got.values()) and got[50].text is None
+    assert got[None].n_dropped == 0 and all(got[i].n_dropped == (1 if i < 12 else 0) for i in range(24))
+    (lines, some_lines), (texts, some_texts) = seen
+    assert lines == 25 + 13 and some_lines < lines and texts == 26 and some_texts == 12
