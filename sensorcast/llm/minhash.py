@@ -17,9 +17,12 @@ component is not the leader's, so a large group makes a few rows a document,
 not one for every band.  Links between members are then implied unless two of
 them are still in different components.  Buckets that still hold several components
 are cut into tiles; pairs of tiles are compared by their registers inside a
-task, which returns only the pairs of different components that pass, the
-likeliest first.  No link is lost, and the pairs of a bucket are never all
-emitted.
+task, which returns the members that may be alike to one of another component.
+The full sets of those alone are dealt in tiles again, and every pair of
+different components is decided on them inside a task, which returns a link
+only where it joins two components of the bucket.  No link between components
+is lost, and the pairs of a bucket are never emitted, those just below the
+threshold included.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ BAND_ROWS = 4
 FIRST_BANDS = 8
 # a bucket is cut into tiles of about this many members
 TILE_ROWS = 256
+# and of at most about this many shingles, where full sets are compared
+TILE_SHINGLES = 1 << 17
 SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 # the estimate may drop a pair at the threshold with this chance
@@ -273,54 +278,178 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         _confirm_batches, "a long, b long, inter long, total long")
 
 
-def _tile_batches(floors: np.ndarray):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
+def _keyed_rows(batches):
+    """The rows of all batches as dicts of columns, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+
+
+def _bands(regs: np.ndarray) -> np.ndarray:
+    """The bands of register rows, one number each."""
+    return np.ascontiguousarray(regs[:, :BANDS * BAND_ROWS]).view(np.uint64)
+
+
+def _open_batches(floors: np.ndarray):
+    schema = pa.schema([("key", pa.int64()), ("band", pa.int32()), ("member", pa.int64()), ("c", pa.int64()), ("n_shingles", pa.int64())])
 
     def run(batches):
-        for batch in batches:
-            cols = [batch.column(n).to_pylist() for n in ("band", "same", "docs_a", "docs_b")]
-            for band, same, docs_a, docs_b in zip(*cols):
-                sides = []
-                for rows in (docs_a, docs_b):
-                    regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, REGISTERS)
-                    sides.append((np.array([r["member"] for r in rows]), np.array([r["c"] for r in rows]),
-                                  np.array([r["n_shingles"] for r in rows], float), regs))
-                (ids_a, comp_a, n_a, regs_a), (ids_b, comp_b, n_b, regs_b) = sides
-                bands_a, bands_b = (np.ascontiguousarray(x[:, :BANDS * BAND_ROWS]).view(np.uint64) for x in (regs_a, regs_b))
-                for i in range(len(ids_a)):
-                    open_ = comp_b != comp_a[i]
-                    if same:
-                        open_[:i + 1] = False
-                    j = np.flatnonzero(open_)
-                    # a pair that shares several bands is met in the first of them
-                    j = j[np.argmax(bands_b[j] == bands_a[i], axis=1) == band]
-                    if not len(j):
-                        continue
-                    agree, floor = (regs_b[j] == regs_a[i]).mean(axis=1), floor_of(floors, n_a[i], n_b[j])
-                    j, agree, floor = (x[agree >= floor] for x in (j, agree, floor))
-                    if not len(j):
-                        continue
-                    chance = collision_rate(np.full(len(j), n_a[i]), n_b[j])
-                    est = np.clip((agree - chance) / (1 - chance), 0.0, 1.0)
-                    j, est = j[est >= floor], est[est >= floor]
+        key, seen = None, set()
+        for row in _keyed_rows(batches):
+            if row["key"] != key:
+                key, seen = row["key"], set()
+            sides = []
+            for rows in (row["docs_a"], row["docs_b"]):
+                regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, REGISTERS)
+                sides.append((np.array([r["member"] for r in rows]), np.array([r["c"] for r in rows]),
+                              np.array([r["n_shingles"] for r in rows], float), regs))
+            (ids_a, comp_a, n_a, regs_a), (ids_b, comp_b, n_b, regs_b) = sides
+            bands_a, bands_b = _bands(regs_a), _bands(regs_b)
+            old_a, old_b = (np.array([i in seen for i in ids.tolist()]) for ids in (ids_a, ids_b))
+            in_a, in_b = old_a.copy(), old_b.copy()
+            for i in range(len(ids_a)):
+                # two members that are both known to be open need no further pair
+                want = (comp_b != comp_a[i]) & ~(in_b & in_a[i])
+                if row["same"]:
+                    want[:i + 1] = False
+                j = np.flatnonzero(want)
+                # a pair that shares several bands is met in the first of them
+                j = j[np.argmax(bands_b[j] == bands_a[i], axis=1) == row["band"]]
+                if not len(j):
+                    continue
+                agree, floor = (regs_b[j] == regs_a[i]).mean(axis=1), floor_of(floors, n_a[i], n_b[j])
+                j, agree, floor = (x[agree >= floor] for x in (j, agree, floor))
+                if not len(j):
+                    continue
+                chance = collision_rate(np.full(len(j), n_a[i]), n_b[j])
+                j = j[np.clip((agree - chance) / (1 - chance), 0.0, 1.0) >= floor]
+                if len(j):
+                    in_a[i] = in_b[j] = True
+                    if row["same"]:
+                        in_a |= in_b
+                        in_b = in_a
+            for ids, comps, n, now, old in ((ids_a, comp_a, n_a, in_a, old_a), (ids_b, comp_b, n_b, in_b, old_b)):
+                new = [k for k in np.flatnonzero(now & ~old).tolist() if int(ids[k]) not in seen]
+                seen.update(ids[new].tolist())
+                if new:
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.minimum(ids_a[i], ids_b[j])), pa.array(np.maximum(ids_a[i], ids_b[j])),
-                        pa.array(est)], schema=schema)
+                        pa.array([key] * len(new), pa.int64()), pa.array([row["band"]] * len(new), pa.int32()), pa.array(ids[new], pa.int64()),
+                        pa.array(comps[new], pa.int64()), pa.array(n[new].astype(np.int64))], schema=schema)
     return run
 
 
-def _tile_pairs(rows: DataFrame, reps: DataFrame, floors: np.ndarray) -> DataFrame:
-    """``(a, b, est)`` of the pairs of different components in a bucket whose
-    estimate passes; bucket by bucket, tile against tile."""
-    slot = F.pmod(F.xxhash64("member", "band"), F.ceil(F.col("n") / TILE_ROWS).cast("long"))
-    side = reps.select(F.col("doc_id").alias("member"), "n_shingles", "registers")
-    tiles = (rows.withColumn("slot", slot).join(side, "member").groupBy("key", "band", "slot")
-             .agg(F.sort_array(F.collect_list(F.struct("member", "c", "n_shingles", "registers"))).alias("docs")))
-    tiles, _ = stored(tiles, "bucket-tiles")
+def _tiles(rows: DataFrame, slots, *columns: str) -> DataFrame:
+    """``(key, band, slot, docs)``: the members of a bucket in tiles."""
+    slot = F.pmod(F.xxhash64("member", "band"), F.ceil(slots).cast("long"))
+    return rows.withColumn("slot", slot).groupBy("key", "band", "slot").agg(
+        F.sort_array(F.collect_list(F.struct("member", "c", *columns))).alias("docs"))
+
+
+def _tile_pairs(tiles: DataFrame) -> DataFrame:
+    """``(key, band, same, docs_a, docs_b)`` of the pairs of tiles of a bucket."""
     other = tiles.select("key", F.col("slot").alias("slot_b"), F.col("docs").alias("docs_b"))
     pairs = tiles.withColumnRenamed("docs", "docs_a").join(other, "key").where("slot <= slot_b")
-    return pairs.select("band", (F.col("slot") == F.col("slot_b")).alias("same"), "docs_a", "docs_b").mapInArrow(
-        _tile_batches(floors), "a long, b long, est double")
+    return pairs.select("key", "band", (F.col("slot") == F.col("slot_b")).alias("same"), "docs_a", "docs_b")
+
+
+def _open_members(rows: DataFrame, reps: DataFrame, floors: np.ndarray) -> tuple[DataFrame, list[str]]:
+    """``(key, band, member, c, n_shingles)`` of the members of a bucket that
+    may be alike to one of another component, by registers, tile against tile."""
+    side = reps.select(F.col("doc_id").alias("member"), "n_shingles", "registers")
+    tiles, tiles_path = stored(_tiles(rows.join(side, "member"), F.col("n") / TILE_ROWS, "n_shingles", "registers"), "bucket-tiles")
+    found, found_path = stored(_tile_pairs(tiles).mapInArrow(
+        _open_batches(floors), "key long, band int, member long, c long, n_shingles long").distinct(), "open-members")
+    return found, [tiles_path, found_path]
+
+
+def _set_batches(batches):
+    schema = pa.schema([("member", pa.int64()), ("shingles", pa.binary())])
+    for batch in batches:
+        for first, last, data, offsets in text_slices(batch):
+            sets = shingle_sets(data, offsets, SHINGLE_WORDS)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+
+
+def shared_counts(sets: list[np.ndarray], others: list[np.ndarray]):
+    """A function of ``(i, j)``: how many shingles set ``i`` shares with each of
+    the other sets ``j``, an array of numbers.  No set is empty."""
+    ends = np.cumsum([0] + [len(s) for s in others])
+    known, place = np.unique(np.concatenate(others), return_inverse=True)
+    mark = np.zeros(len(known), np.uint8)
+
+    def count(i: int, j: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(known, sets[i])
+        at[at == len(known)] = 0
+        at = at[known[at] == sets[i]]
+        mark[at] = 1
+        if len(j) * 8 < len(others):
+            out = np.array([np.count_nonzero(mark[place[ends[k]:ends[k + 1]]]) for k in j.tolist()], np.int64)
+        else:
+            out = np.add.reduceat(mark[place], ends[:-1], dtype=np.int64)[j]
+        mark[at] = 0
+        return out
+    return count
+
+
+def _link_batches(threshold_pct: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        key, over = None, {}
+
+        def root(c):
+            while (up := over.get(c, c)) != c:
+                over[c] = c = over.get(up, up)
+            return c
+        for row in _keyed_rows(batches):
+            if row["key"] != key:
+                key, over = row["key"], {}
+            sides = []
+            for rows in (row["docs_a"], row["docs_b"]):
+                regs = np.frombuffer(b"".join(r["head"] for r in rows), np.uint16).reshape(len(rows), -1)
+                sides.append((np.array([r["member"] for r in rows]), np.array([root(r["c"]) for r in rows]), _bands(regs),
+                              [np.frombuffer(r["shingles"], np.uint64) for r in rows]))
+            (ids_a, comp_a, bands_a, sets_a), (ids_b, comp_b, bands_b, sets_b) = sides
+            n_a, n_b = (np.array([len(s) for s in sets], np.int64) for sets in (sets_a, sets_b))
+            shared = shared_counts(sets_a, sets_b)
+            a, b = [], []
+            for i in range(len(ids_a)):
+                # sizes alone tell some pairs apart
+                want = (comp_b != comp_a[i]) & (100 * np.minimum(n_b, n_a[i]) >= threshold_pct * np.maximum(n_b, n_a[i]))
+                if row["same"]:
+                    want[:i + 1] = False
+                j = np.flatnonzero(want)
+                j = j[np.argmax(bands_b[j] == bands_a[i], axis=1) == row["band"]]
+                if not len(j):
+                    continue
+                inter = shared(i, j)
+                j = j[100 * inter >= threshold_pct * (n_a[i] + n_b[j] - inter)]
+                # of the links to one component the first is enough
+                for c, k in zip(*np.unique(comp_b[j], return_index=True)):
+                    a.append(int(ids_a[i]))
+                    b.append(int(ids_b[j[k]]))
+                    left, right = sorted((root(int(comp_a[i])), root(int(c))))
+                    over[right] = left
+                if len(j):
+                    comp_a, comp_b = (np.array([root(c) for c in x.tolist()]) for x in (comp_a, comp_b))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+    return run
+
+
+def _bucket_links(found: DataFrame, reps: DataFrame, texts: DataFrame, threshold_pct: int) -> tuple[DataFrame, list[str]]:
+    """``(a, b)`` links between open members, enough to join the components of
+    every bucket: each pair is decided on its full sets inside a task, and a
+    task returns the links that join two components of a bucket."""
+    sets, sets_path = stored(texts.join(found.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                             .select("doc_id", "text").mapInArrow(_set_batches, "member long, shingles binary"), "shingle-sets")
+    heads = reps.select(F.col("doc_id").alias("member"), F.substring("registers", 1, 2 * BANDS * BAND_ROWS).alias("head"))
+    sizes = found.groupBy("key").agg(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n_shingles") / TILE_SHINGLES).alias("slots"))
+    rows = found.drop("n_shingles").join(sizes, "key").join(heads, "member").join(sets, "member")
+    tiles, tiles_path = stored(_tiles(rows, F.col("slots"), "head", "shingles"), "set-tiles")
+    links, links_path = stored(_tile_pairs(tiles).mapInArrow(_link_batches(threshold_pct), "a long, b long"), "bucket-links")
+    return links, [sets_path, tiles_path, links_path]
 
 
 def _joined_components(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -384,24 +513,19 @@ def classified(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame
     further, further_path = stored(_estimated(met.select("a", "b").join(least, ["a", "b"], "left_anti"), reps, floors), "estimates")
     comp = _joined_components(comp, links_of(further))
 
-    # the pairs of buckets with several components; the likely links are
-    # confirmed first, which settles most of the others
+    # then the pairs of buckets with several components, decided inside tasks
     named = _named(shared, comp)
     mixed = _mixed(named).select("key", "n")
-    cross, cross_path = stored(_tile_pairs(named.join(mixed, "key"), reps, floors), "cross")
-    likely = F.col("est") >= F.lit(threshold_pct / 100.0)
-    comp = _joined_components(comp, links_of(cross.where(likely)))
-    sides = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    others = comp.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    apart = (cross.where(~likely).join(sides, "a", "left").join(others, "b", "left")
-             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    final = _joined_components(comp, links_of(apart))
+    found, found_paths = _open_members(named.join(mixed, "key"), reps, floors)
+    bridges, bridge_paths = _bucket_links(found, reps, texts, threshold_pct)
+    final = _joined_components(comp, links_of(bridges))
 
     of_class = (classes.drop("registers").join(final.select(F.col("id").alias("node"), "component"), "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))
     smallest = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
     known, _ = stored(of_class.join(smallest, "component").select("n_shingles", "set_a", "set_b", "least"), "class-components")
-    for path in (classes_path, keyed_path, heads_path, *member_paths, shared_path, wanted_path, further_path, texts_path, cross_path):
+    for path in (classes_path, keyed_path, heads_path, *member_paths, shared_path, wanted_path, further_path, texts_path,
+                 *found_paths, *bridge_paths):
         drop_stored(spark, path)
     linked = rows_of.join(known, ["n_shingles", "set_a", "set_b"], "left").withColumn(
         "least", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")))
