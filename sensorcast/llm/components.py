@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorcast.llm.common import drop_stored, stored
@@ -27,10 +27,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
 
 
-def _state(edges: DataFrame):
-    row = edges.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _written(edges: DataFrame):
+    """The edges as a written table, its path, and their number and checksum,
+    which are counted while they are written."""
+    seen = Observation()
+    table, path = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")).alias("s")), "links")
+    return table, path, (seen.get["n"], seen.get["s"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -44,14 +46,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     spark = links.sparkSession
     edges = (links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
              .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
-    edges, path = stored(edges, "links")
-    state = _state(edges)
+    edges, path, state = _written(edges)
     for _ in range(MAX_ROUNDS):
         if state[0] == 0:
             break
-        nxt, nxt_path = stored(_small_star(_large_star(edges)), "links")
+        nxt, nxt_path, now = _written(_small_star(_large_star(edges)))
         drop_stored(spark, path)
-        now = _state(nxt)
         edges, path = nxt, nxt_path
         if now == state:
             break
