@@ -1,8 +1,8 @@
-"""Connected components of a link table, as alternating large-star and small-star joins."""
+"""Connected components of a link table: every round links the neighbours of a node to the smallest (hash-to-min)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sensorcast.llm.common import drop_stored, stored
@@ -10,29 +10,30 @@ from sensorcast.llm.common import drop_stored, stored
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node links its larger neighbours to the smallest node it sees."""
-    both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-        edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.join(least, "u").where("v > u")
-            .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
+def _round(edges: DataFrame) -> DataFrame:
+    """``(hi, lo, open)``: every node links itself and its neighbours to the
+    smallest of them.  ``open`` marks nodes that saw several neighbours, a
+    smaller one among them: without such nodes the edges were stars before.
 
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node links itself and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = (edges.join(least, "hi").where("lo <> m")
-             .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-    return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
+    The edges are read once and shuffled once; a node's neighbours are sorted
+    and may spill.  Every distinct edge gives two rows at most.
+    """
+    both = edges.select(F.inline(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
+                                         F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))))
+    of_node = Window.partitionBy("u")
+    seen = (both.repartition("u").distinct()
+            .select("u", "v", F.min("v").over(of_node).alias("least"), F.max("v").over(of_node).alias("most")))
+    low = F.least("u", "least")
+    return seen.select(F.when(F.col("v") == low, F.col("u")).otherwise(F.col("v")).alias("hi"), low.alias("lo"),
+                       ((F.col("least") < F.col("u")) & (F.col("least") < F.col("most"))).alias("open"))
 
 
 def _written(edges: DataFrame):
-    """The edges as a written table, its path, and their number and checksum,
-    which are counted while they are written."""
+    """The edges after a round as a written table, its path, and whether any
+    node was open, which is found while they are written."""
     seen = Observation()
-    table, path = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")).alias("s")), "links")
-    return table, path, (seen.get["n"], seen.get["s"])
+    table, path = stored(_round(edges).observe(seen, F.max("open").alias("open")).select("hi", "lo"), "links")
+    return table, path, bool(seen.get["open"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -45,19 +46,17 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     spark = links.sparkSession
     edges = (links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-             .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
-    edges, path, state = _written(edges)
+             .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")))
+    path = None
     for _ in range(MAX_ROUNDS):
-        if state[0] == 0:
-            break
-        nxt, nxt_path, now = _written(_small_star(_large_star(edges)))
-        drop_stored(spark, path)
-        edges, path = nxt, nxt_path
-        if now == state:
+        edges, now, is_open = _written(edges)
+        if path:
+            drop_stored(spark, path)
+        path = now
+        if not is_open:
             break
-        state = now
     else:
         raise RuntimeError(f"links did not settle in {MAX_ROUNDS} rounds")
     # every edge now joins a node to the smallest of its component
-    return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
-        edges.select(F.col("lo").alias("id"), F.col("lo").alias("component"))).distinct()
+    return edges.select(F.inline(F.array(F.struct(F.col("hi").alias("id"), F.col("lo").alias("component")),
+                                         F.struct(F.col("lo").alias("id"), F.col("lo").alias("component"))))).distinct()
